@@ -125,7 +125,7 @@ def cross_validate(train: DataFrame, name: str, params: Params) -> tuple[float,
         ).fit(scaled)
     finally:
         folded.unpersist()
-    return model.avgMetrics[0], model.stdMetrics[0]
+    return float(model.avgMetrics[0]), float(model.stdMetrics[0])
 
 
 def feature_importances(model: PipelineModel, train: DataFrame, params: Params) -> DataFrame:

@@ -49,7 +49,7 @@ def best_kmeans(scaled: DataFrame, k: int, restarts: int, params: Params) -> KMe
 
     seeds = range(params.seed, params.seed + restarts)
     with ThreadPool(min(FIT_THREADS, restarts)) as pool:
-        models = pool.map(inheritable_thread_target(fit), seeds)
+        models = pool.map(inheritable_thread_target(scaled.sparkSession)(fit), seeds)
     return min(models, key=lambda model: model.summary.trainingCost)
 
 
