@@ -123,6 +123,11 @@ def _split(spark: SparkSession, sf: str) -> DataFrame:
     return splits.walk_forward(_ml_table(spark, sf), PARAMS)
 
 
+def _split_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Written once, so that filters on ``is_test`` reach the scan, not the cut's subquery."""
+    return materialize(_split(spark, sf), "split-rows")
+
+
 def _ruled_scores(rows: DataFrame) -> DataFrame:
     """Predictions made by rule: up after a low RSI."""
     return rows.withColumn("prediction", (F.col("rsi") < 50).cast("int"))
@@ -224,7 +229,7 @@ def _model_roundtrip(spark, sf):
 def _run_summary(spark, sf):
     root = scratch_path(spark, "run")
     pipeline.run_pipeline(_bars(spark, sf), root, PARAMS)
-    return tables.read_json(spark, pipeline.Folder(root).summary, pipeline.SUMMARY_SCHEMA)
+    return pipeline.read_summary(spark, pipeline.Folder(root))
 
 
 # --- queries: models ----------------------------------------------------------------------------
@@ -324,14 +329,14 @@ def _prediction_stage(spark, sf):
 
 
 def _train_only_scaling(spark, sf):
-    split = materialize(_split(spark, sf), "split-rows")
+    split = _split_table(spark, sf)
     scaled = profile.standardize(split, PARAMS.predictors, splits.training_part(split))
     return scaled.drop(splits.LABEL)
 
 
 def _tournament_rule(spark, sf):
     """The winner between two rule-made contenders, judged on the test rows."""
-    test = materialize(splits.testing_part(_split(spark, sf)), "test-rows")
+    test = _test_part(spark, sf)
     trend = test.withColumn("prediction", (F.col("ma_cross_signal") < 0).cast("int"))
     results = [
         metrics.scores(scored).withColumns({"contender": F.lit(name), "priority": F.lit(place)})
@@ -351,12 +356,12 @@ def _split_counts(spark, sf):
 
 
 def _cv_folds(spark, sf):
-    train = materialize(splits.training_part(_split(spark, sf)), "train-rows")
+    train = splits.training_part(_split_table(spark, sf))
     return splits.cv_folds(train, PARAMS).select("ticker", "date", "is_profitable", "fold")
 
 
 def _test_part(spark, sf):
-    return splits.testing_part(_split(spark, sf))
+    return splits.testing_part(_split_table(spark, sf))
 
 
 def _ranked(spark, sf):
@@ -460,7 +465,7 @@ _QUERIES: dict[str, Query] = {
     "walk_forward_split": lambda s, d: _split(s, d).select("ticker", "date", "is_test"),
     "split_counts": _split_counts,
     "cv_folds": _cv_folds,
-    "class_weights": lambda s, d: splits.class_weights(splits.training_part(_split(s, d))),
+    "class_weights": lambda s, d: splits.class_weights(splits.training_part(_split_table(s, d))),
     "baseline_accuracy": lambda s, d: metrics.baseline_accuracy(_test_part(s, d)),
     "classification_report": lambda s, d: metrics.classification_report(
         _ruled_scores(_test_part(s, d))

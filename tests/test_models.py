@@ -11,7 +11,6 @@ from tickerloom.operators import classify, clustering, profile, scenarios, silho
 from tickerloom.operators.splits import LABEL
 from tickerloom.params import CLUSTER_FEATURES, Params
 from tickerloom.plans import pipeline
-from tickerloom.sources import tables
 
 SMALL = Params(
     universe=None, benchmark="T0", cluster_restarts=3, sweep_restarts=2, sweep=(2, 3, 4, 99),
@@ -213,7 +212,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
     raw = spark.createDataFrame(rows, BAR_SCHEMA)
     summary = pipeline.run_pipeline(raw, str(tmp_path / "run"), SMALL).first()
     folder = pipeline.Folder(str(tmp_path / "run"))
-    saved = tables.read_json(spark, folder.summary, pipeline.SUMMARY_SCHEMA).first()
+    saved = pipeline.read_summary(spark, folder).first()
     assert saved == summary and saved.tickers_processed == 8
     assert sum(saved.clustering.distribution.values()) == 8
     assert 0.0 <= saved.return_prediction.accuracy <= 1.0
@@ -223,9 +222,14 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert set(features.columns) == set(SMALL.feature_columns) and features.count() == 8 * 120
     exported = spark.read.option("header", True).csv(folder.features_csv)
     assert exported.count() == 8 * 120 and tuple(exported.columns) == SMALL.feature_columns
-    clusters = spark.read.option("header", True).csv(folder.clusters)
-    assert clusters.count() == 8 and "cluster_label" in clusters.columns
-    assert spark.read.option("header", True).csv(folder.importances).count() == 19
-    model = pipeline.load_model(folder.return_model)
-    assert classify.score_rows(features, model, SMALL).count() == 8 * 120
+    clusters = pipeline.read_clusters(spark, folder)
+    assert clusters.count() == 8 and clusters.filter("cluster_label is null").isEmpty()
+    unlabelled = clusters.drop("cluster_id", "cluster_label", "cluster_color")
+    relabelled = pipeline.label_profiles(unlabelled, folder)
+    assert {r.ticker: r.cluster_label for r in relabelled.collect()} == {
+        r.ticker: r.cluster_label for r in clusters.collect()
+    }
+    rising = pipeline.read_importances(spark, folder, ascending=True).collect()
+    assert len(rising) == 19 and rising[0].importance <= rising[-1].importance
+    assert pipeline.predict_direction(features, folder, SMALL).count() == 8 * 120
     assert len(pipeline.load_model(folder.cluster_model).stages) == 3

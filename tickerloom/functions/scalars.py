@@ -31,14 +31,20 @@ def as_price(value: Column) -> Column:
 
 
 def as_volume(value: Column, missing: int | None = None) -> Column:
-    """Whole number; decimals are cut off, unparsable text becomes ``missing``."""
-    whole = F.coalesce(value.try_cast("bigint"), value.try_cast("double").try_cast("bigint"))
+    """Whole number; decimals are cut off, unparsable text becomes ``missing``.
+
+    Up to 2^53 the double holds the whole part exactly, so only larger values need the bigint
+    parse, whose failures on decimal text are costly.
+    """
+    number = value.try_cast("double")
+    large = F.coalesce(value.try_cast("bigint"), number.try_cast("bigint"))
+    whole = F.when(F.abs(number) < 2.0**53, number.cast("bigint")).otherwise(large)
     return whole if missing is None else F.coalesce(whole, F.lit(missing).cast("bigint"))
 
 
 def as_day(value: Column, formats: tuple[str, ...] = ()) -> Column:
     """Date or null from a date, a timestamp, ISO text, or text in an extra format."""
-    stamp = F.try_to_timestamp(value.cast("string"))
+    stamp = value.try_cast("timestamp")
     for pattern in formats:
         stamp = F.coalesce(stamp, F.try_to_timestamp(value.cast("string"), F.lit(pattern)))
     return F.to_date(stamp)

@@ -133,7 +133,12 @@ def feature_importances(model: PipelineModel, train: DataFrame, params: Params)
     values = model.stages[-1].featureImportances.toArray().tolist()
     rows = list(zip(params.predictors, values, strict=True))
     table = train.sparkSession.createDataFrame(rows, "feature string, importance double")
-    return table.orderBy(F.desc("importance"), "feature")
+    return order_importances(table)
+
+
+def order_importances(table: DataFrame, ascending: bool = False) -> DataFrame:
+    """Descending as saved, ascending for bar charts; ties by feature name."""
+    return table.orderBy(F.col("importance") if ascending else F.desc("importance"), "feature")
 
 
 def score_rows(rows: DataFrame, model: PipelineModel, params: Params) -> DataFrame:

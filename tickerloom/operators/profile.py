@@ -107,7 +107,10 @@ def attach_labels(clustered: DataFrame, ranking: DataFrame) -> DataFrame:
 
 
 def label_report(labelled: DataFrame) -> DataFrame:
-    """Per label in risk order: tickers, mean sharpe, mean beta. Absent labels count 0."""
+    """Per label in risk order: tickers, mean sharpe, mean beta. Absent labels count 0.
+
+    The broadcast side is an aggregate with one row per label.
+    """
     per_label = labelled.groupBy("cluster_label").agg(
         F.count("*").alias("found"),
         F.avg("sharpe_ratio").alias("sharpe_ratio"),
@@ -115,7 +118,7 @@ def label_report(labelled: DataFrame) -> DataFrame:
     )
     return (
         label_table(labelled.sparkSession)
-        .join(per_label, "cluster_label", "left")
+        .join(F.broadcast(per_label), "cluster_label", "left")
         .select(
             "risk_rank", "cluster_label", "cluster_color",
             F.coalesce("found", F.lit(0)).alias("tickers"), "sharpe_ratio", "beta",

@@ -32,6 +32,11 @@ def ml_rows(features: DataFrame, params: Params) -> DataFrame:
     return complete.withColumn(LABEL, (F.col(TARGET) > 0).cast("int")).drop(TARGET)
 
 
+def _digest() -> Column:
+    """Never null, so that no null check on it is pushed to the scan."""
+    return F.coalesce(F.md5("ticker"), F.lit(""))
+
+
 def _cut_keys(rows: DataFrame, cut_ranks: Callable[[Column], Column], group: str) -> DataFrame:
     """Per group an array ``cuts`` of (date, digest, times): the row at each wanted rank.
 
@@ -39,7 +44,7 @@ def _cut_keys(rows: DataFrame, cut_ranks: Callable[[Column], Column], group: str
     often a rank occurs in it.
     """
     total = Window.partitionBy(group)
-    keyed = rows.select(group, "date", F.md5("ticker").alias("digest"))
+    keyed = rows.select(group, "date", "ticker")
 
     days = Window.partitionBy(group).orderBy("date")
     daily = (
@@ -54,9 +59,12 @@ def _cut_keys(rows: DataFrame, cut_ranks: Callable[[Column], Column], group: str
             F.size(F.filter("ranks", lambda r: r == F.col("rank"))).alias("times"),
         )
     )
-    # One row per cut and group from here on, so these broadcasts are a handful of rows.
-    on_day = keyed.join(F.broadcast(daily), [group, "date"]).withColumn(
-        "prefix", F.left("digest", F.lit(_PREFIX))
+    # One row per cut and group from here on, so these broadcasts are a handful of rows, and
+    # digests are only computed for the rows of a cut's day.
+    on_day = (
+        keyed.join(F.broadcast(daily), [group, "date"])
+        .withColumn("digest", _digest())
+        .withColumn("prefix", F.left("digest", F.lit(_PREFIX)))
     )
     cut = [group, "date", "left", "times"]
     prefixes = Window.partitionBy(*cut).orderBy("prefix")
@@ -82,7 +90,7 @@ def _cuts_passed(cuts: Column) -> Column:
 
     def passed(cut: Column) -> Column:
         same_day = F.col("date") == cut["date"]
-        reached = F.when(same_day, F.md5("ticker") >= cut["digest"]).otherwise(
+        reached = F.when(same_day, _digest() >= cut["digest"]).otherwise(
             F.col("date") > cut["date"]
         )
         return F.when(reached, cut["times"]).otherwise(0)

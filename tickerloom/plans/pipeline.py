@@ -10,15 +10,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.operators.benchmark import require_benchmark
-from tickerloom.operators.classify import Prediction, train_predictor
+from tickerloom.operators.classify import (
+    Prediction,
+    order_importances,
+    score_rows,
+    train_predictor,
+)
 from tickerloom.operators.cleaning import clean_bars
-from tickerloom.operators.clustering import Clustering, cluster_profiles
+from tickerloom.operators.clustering import Clustering, cluster_profiles, predict_clusters
 from tickerloom.operators.indicators import add_features
 from tickerloom.operators.profile import label_table, ticker_profile
 from tickerloom.operators.splits import ml_rows
 from tickerloom.params import Params
 from tickerloom.sources.storage import materialize
-from tickerloom.sources.tables import read_by_ticker, write_by_ticker, write_csv, write_json
+from tickerloom.sources.tables import (
+    read_by_ticker,
+    read_csv,
+    read_json,
+    write_by_ticker,
+    write_csv,
+    write_json,
+)
 
 # The run summary's shape.
 SUMMARY_SCHEMA = (
@@ -30,6 +42,15 @@ SUMMARY_SCHEMA = (
 )
 
 
+# The result tables' columns.
+CLUSTER_SCHEMA = (
+    "ticker string, annualised_return double, volatility double, sharpe_ratio double, "
+    "beta double, avg_rsi double, avg_bb_pct_b double, trading_days bigint, cluster_id int, "
+    "cluster_label string, cluster_color string"
+)
+IMPORTANCE_SCHEMA = "feature string, importance double"
+
+
 @dataclass(frozen=True)
 class Folder:
     """Where a run keeps its tables and models, below one root."""
@@ -77,6 +98,31 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def read_clusters(spark: SparkSession, folder: Folder) -> DataFrame:
+    return read_csv(spark, folder.clusters, CLUSTER_SCHEMA)
+
+
+def read_importances(spark: SparkSession, folder: Folder, ascending: bool = False) -> DataFrame:
+    return order_importances(read_csv(spark, folder.importances, IMPORTANCE_SCHEMA), ascending)
+
+
+def read_summary(spark: SparkSession, folder: Folder) -> DataFrame:
+    return read_json(spark, folder.summary, SUMMARY_SCHEMA)
+
+
+def label_profiles(profile: DataFrame, folder: Folder) -> DataFrame:
+    """Cluster labels for profiles from a finished run's artefacts."""
+    labels = read_clusters(profile.sparkSession, folder).select(
+        "cluster_id", "cluster_label", "cluster_color"
+    )
+    return predict_clusters(profile, load_model(folder.cluster_model), labels.distinct())
+
+
+def predict_direction(rows: DataFrame, folder: Folder, params: Params) -> DataFrame:
+    """Predictions for feature rows from a finished run's model."""
+    return score_rows(rows, load_model(folder.return_model), params)
+
+
 def transform_stage(
     raw: DataFrame, folder: Folder, params: Params, buckets: int | None = None
 ) -> DataFrame:
