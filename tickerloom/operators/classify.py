@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import statistics
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ from tickerloom.operators.splits import (
     walk_forward,
     with_class_weights,
 )
-from tickerloom.params import Params
+from tickerloom.params import FIT_THREADS, Params
 from tickerloom.sources.storage import materialize, shared_folder
 
 # Contender names; the first wins a tie.
@@ -112,20 +112,26 @@ def tournament(
 
 
 def cross_validate(train: DataFrame, name: str, params: Params) -> tuple[float, float]:
-    """(mean, population deviation) of the accuracy over contiguous per-class folds."""
+    """(mean, population deviation) of the accuracy over contiguous per-class folds.
+
+    The folds share one scaled, persisted table and are fitted side by side.
+    """
     shared_folder(train.sparkSession)
-    folded = cv_folds(train, params).persist(StorageLevel.MEMORY_AND_DISK)
-    scaled = Pipeline(stages=scaler_stages(params)).fit(folded).transform(folded)
+    folded = cv_folds(train, params)
+    scaled = Pipeline(stages=scaler_stages(params)).fit(train).transform(folded)
+    kept = scaled.select(LABEL, "weight", "fold", "features").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def accuracy(fold: int) -> float | None:
+        model = classifier(name, params).fit(kept.filter(F.col("fold") != fold))
+        return scores(model.transform(kept.filter(F.col("fold") == fold))).first().accuracy
+
     try:
-        model = CrossValidator(
-            estimator=classifier(name, params),
-            estimatorParamMaps=ParamGridBuilder().build(),
-            evaluator=MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy"),
-            numFolds=params.folds, foldCol="fold", seed=params.seed,
-        ).fit(scaled)
+        with ThreadPool(min(FIT_THREADS, params.folds)) as pool:
+            work = inheritable_thread_target(train.sparkSession)(accuracy)
+            found = [a for a in pool.map(work, range(params.folds)) if a is not None]
     finally:
-        folded.unpersist()
-    return float(model.avgMetrics[0]), float(model.stdMetrics[0])
+        kept.unpersist()
+    return statistics.fmean(found), statistics.pstdev(found)
 
 
 def feature_importances(model: PipelineModel, train: DataFrame, params: Params) -> DataFrame:

@@ -15,10 +15,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators.profile import attach_labels, check_cluster_count, rank_clusters
 from tickerloom.operators.silhouette import silhouette_exact, silhouette_squared
-from tickerloom.params import CLUSTER_FEATURES, Params
-
-# Fits that run at the same time; each is a chain of short jobs on a small table.
-FIT_THREADS = 4
+from tickerloom.params import CLUSTER_FEATURES, FIT_THREADS, Params
 
 
 @dataclass(frozen=True)

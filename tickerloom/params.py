@@ -37,6 +37,9 @@ PREDICTORS = (
 
 CLUSTER_FEATURES = ("annualised_return", "volatility", "sharpe_ratio", "beta")
 
+# Model fits submitted at the same time: each is a chain of jobs too short to fill a cluster.
+FIT_THREADS = 4
+
 
 @dataclass(frozen=True)
 class Params:
