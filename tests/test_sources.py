@@ -97,6 +97,17 @@ def test_ticker_folders_hold_one_file_and_prune(spark, make_bars, tmp_path):
     assert "PartitionFilters: [isnotnull(ticker" in plan
 
 
+def test_window_output_is_written_without_another_shuffle(spark, make_bars, tmp_path):
+    bars = add_daily_return(make_bars({f"T{i}": [1.0, 2.0, 3.0] for i in range(12)}).repartition(5))
+    path = tmp_path / "table"
+    tables.write_by_ticker(bars, str(path), clustered=True)
+    assert [len(list(f.glob("*.parquet"))) for f in path.glob("ticker=*")] == [1] * 12
+    laid_out = bars.sortWithinPartitions("ticker", "date")
+    plan = laid_out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert tables.read_by_ticker(spark, str(path), bars.schema).count() == 36
+
+
 def test_corrupt_files_can_be_skipped(spark, make_bars, tmp_path):
     path = tmp_path / "table"
     bars = make_bars({"AAA": [1.0], "BBB": [2.0]})

@@ -128,7 +128,7 @@ def transform_stage(
 ) -> DataFrame:
     """Clean bars, written; the returned DataFrame reads the written table."""
     clean = clean_bars(raw, params)
-    write_by_ticker(clean, folder.clean, buckets)
+    write_by_ticker(clean, folder.clean, buckets, clustered=True)
     return read_by_ticker(raw.sparkSession, folder.clean, clean.schema)
 
 
@@ -139,7 +139,7 @@ def feature_stage(
     """Feature table, written as parquet and, unless switched off, as CSV."""
     require_benchmark(clean, params)
     features = add_features(clean, params)
-    write_by_ticker(features, folder.features, buckets)
+    write_by_ticker(features, folder.features, buckets, clustered=True)
     written = read_by_ticker(clean.sparkSession, folder.features, features.schema)
     if export_csv:
         write_csv(written, folder.features_csv)

@@ -13,18 +13,23 @@ def bucket_of(ticker: str | Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(ticker), F.lit(buckets)).cast("int")
 
 
-def write_by_ticker(bars: DataFrame, path: str, buckets: int | None = None) -> None:
+def write_by_ticker(
+    bars: DataFrame, path: str, buckets: int | None = None, clustered: bool = False
+) -> None:
     """Parquet, one folder per ticker, in date order; replaces the table.
 
-    Clustering by ticker before the write gives each folder one file. A folder per ticker
-    suits universes up to some thousands; for more, ``buckets`` bounds the number of folders
-    and the sort lets row-group statistics find a ticker inside its bucket.
+    A ticker's rows must share a task for its folder to get one file. ``clustered`` says they
+    already do -- true for the output of any per-ticker window -- which saves a shuffle of the
+    whole table. A folder per ticker suits universes up to some thousands; for more,
+    ``buckets`` bounds the number of folders, and the sort lets row-group statistics find a
+    ticker inside its bucket.
     """
-    if buckets is None:
-        laid_out, folder = bars.repartition("ticker"), "ticker"
-    else:
-        laid_out = bars.withColumn(BUCKET, bucket_of("ticker", buckets)).repartition(BUCKET)
+    if buckets is not None:
         folder = BUCKET
+        laid_out = bars.withColumn(BUCKET, bucket_of("ticker", buckets)).repartition(BUCKET)
+    else:
+        folder = "ticker"
+        laid_out = bars if clustered else bars.repartition("ticker")
     order = dict.fromkeys([folder, "ticker", "date"])
     laid_out.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(folder).parquet(path)
 
