@@ -1,4 +1,5 @@
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from conftest import day
@@ -43,6 +44,28 @@ def test_csv_folder_unites_header_styles(spark, csv_folder):
     assert bars[1].open is None
 
 
+def test_one_header_needs_no_extra_pass(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("Date,Close\n2024-01-02,1\n")
+    (tmp_path / "y.csv").write_text("Date,Close\n2024-01-03,2\n")
+    (tmp_path / "z.txt").write_text("Other\n1\n")
+    table = raw.read_csv_folder(spark, str(tmp_path), same_header=True)
+    assert sorted(map(tuple, table.select("ticker", "date", "close").collect())) == [
+        ("X", "2024-01-02", "1"), ("Y", "2024-01-03", "2")
+    ]
+    (tmp_path / "w.csv").write_text("Close,Date\n3,2024-01-04\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.read_csv_folder(spark, str(tmp_path), same_header=True).collect()
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(
+        sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default)
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        storage.shared_folder(session)
+
+
 def test_missing_folder_or_files_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         raw.read_csv_folder(spark, str(tmp_path / "absent"))

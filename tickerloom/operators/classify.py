@@ -25,7 +25,7 @@ from tickerloom.operators.splits import (
     with_class_weights,
 )
 from tickerloom.params import FIT_THREADS, Params
-from tickerloom.sources.storage import materialize, shared_folder
+from tickerloom.sources.storage import materialize, shared_folder, spread
 
 # Contender names; the first wins a tie.
 FOREST = "Random Forest Classifier"
@@ -78,6 +78,7 @@ def split_rows(rows: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     folds and the metrics all read that table.
     """
     split = materialize(walk_forward(materialize(rows, "ml-rows"), params), "split-rows")
+    split = spread(split)
     return with_class_weights(training_part(split)), testing_part(split)
 
 

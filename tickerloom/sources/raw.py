@@ -49,14 +49,16 @@ def _files_by_header(spark: SparkSession, folder: str) -> list[list[str]]:
     return [row.files for row in grouped.orderBy("header").collect()]
 
 
-def read_csv_folder(spark: SparkSession, folder: str) -> DataFrame:
+def read_csv_folder(spark: SparkSession, folder: str, same_header: bool = False) -> DataFrame:
     """Every ``*.csv`` of a folder as text columns, united by normalised column name.
 
     Files sharing a header are one scan. A file with neither a ticker nor a name column gets
-    its ticker from the file name.
+    its ticker from the file name. Telling headers apart costs a pass over the text;
+    ``same_header`` promises a single header, saves that pass, and fails on a file that
+    breaks the promise.
     """
     try:
-        groups = _files_by_header(spark, folder)
+        groups = [[folder]] if same_header else _files_by_header(spark, folder)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -65,9 +67,11 @@ def read_csv_folder(spark: SparkSession, folder: str) -> DataFrame:
         raise FileNotFoundError(f"no CSV files in {folder}")
     sources = []
     for files in groups:
-        header = spark.read.option("header", True).csv(files[0]).columns
+        options = {"header": True, "pathGlobFilter": "*.csv"}
+        header = spark.read.options(**options).csv(files[0]).columns
         schema = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in header)
-        scan = spark.read.schema(schema).option("header", True).csv(files)
+        reader = spark.read.schema(schema).options(**options, enforceSchema=not same_header)
+        scan = reader.csv(files)
         table = normalize_columns(scan)
         if "ticker" not in table.columns:
             stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
@@ -104,10 +108,13 @@ def write_raw(bars: DataFrame, path: str) -> None:
     bars.write.mode("overwrite").parquet(path)
 
 
-def ingest(spark: SparkSession, folder: str, cache: str, params: Params) -> DataFrame:
+def ingest(
+    spark: SparkSession, folder: str, cache: str, params: Params, same_header: bool = False
+) -> DataFrame:
     """Raw bars from the parquet cache if there is one, else from the CSV folder via the cache."""
     cached = read_if_present(spark, cache)
     if cached is None:
-        write_raw(load_bars(read_csv_folder(spark, folder), params), cache)
+        text = read_csv_folder(spark, folder, same_header)
+        write_raw(load_bars(text, params), cache)
         cached = spark.read.parquet(cache)
     return load_bars(cached, params)

@@ -44,6 +44,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """A table scan with at least one partition per core, for iterative fits.
+
+    Spark packs a small table into one or two scan tasks, and every pass of a fit would run on
+    that many cores. Tables large enough to fill the cores are returned as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+
+
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The parquet table at ``path``, or None if there is none."""
     try:
