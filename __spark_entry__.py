@@ -34,6 +34,11 @@ from tickerloom.sources import tables
 from tickerloom.sources.storage import materialize, scratch_path
 from tickerloom.sources.trades import bars_from_trades, read_trades
 
+try:
+    from tickerloom.llm import registry as text_registry
+except ImportError:  # the only place that may do without the subpackage
+    text_registry = None
+
 # Query-sized models: the library's defaults are 500 trees, 300 rounds and 20 restarts.
 PARAMS = Params(
     universe=None, benchmark="Brand#1",
@@ -508,9 +513,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """Every registered query: name -> (session, folder of tables) -> DataFrame."""
-    return {name: _displayed(query) for name, query in _QUERIES.items()}
+    own = {name: _displayed(query) for name, query in _QUERIES.items()}
+    return own | (text_registry.QUERIES if text_registry else {})
 
 
 def oracle_sql() -> dict[str, str]:
     """The same result in SQL, for every query that SQL can express."""
-    return oracle_queries.build()
+    return oracle_queries.build() | (text_registry.ORACLE_SQL if text_registry else {})
