@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import mixing, packing, quality, wavelet
+from tickerloom.llm import mixing, packing, quality, secret_scan, warc, wavelet
 from tickerloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,11 +39,23 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digest(secret_scan.find_secrets(read_table(spark, sf_dir, "documents")))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.write_archives(read_table(spark, sf_dir, "pages"), min_revisit=0)
+    directory = warc.write_index(captures)
+    return warc.read_records(warc.read_captures(directory), payloads=False).drop("payload", "url")
+
+
 QUERIES: dict[str, Query] = {
     "op1_wavelet": op1_wavelet,
     "op2_mix": op2_mix,
+    "op6_secrets": op6_secrets,
     "op7_pack": op7_pack,
     "op8_quality": op8_quality,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}
