@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import mixing, packing, quality, repeats, secret_scan, warc, wavelet
+from tickerloom.llm import mixing, neardup, packing, quality, repeats, secret_scan, warc, wavelet
 from tickerloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(repeats.find_repeats(read_table(spark, sf_dir, "documents")))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.link_counts(read_table(spark, sf_dir, "documents"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(secret_scan.find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op1_wavelet": op1_wavelet,
     "op2_mix": op2_mix,
     "op4_repeats": op4_repeats,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_secrets": op6_secrets,
     "op7_pack": op7_pack,
     "op8_quality": op8_quality,
