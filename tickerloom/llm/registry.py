@@ -11,7 +11,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.llm import mixing, neardup, packing, quality, repeats, secret_scan, warc, wavelet
+from tickerloom.llm import covertree, mixing, neardup, packing, quality, repeats, secret_scan, warc, wavelet
 from tickerloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,10 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digest(secret_scan.find_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.link_counts(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.write_archives(read_table(spark, sf_dir, "pages"), min_revisit=0)
     directory = warc.write_index(captures)
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op6_secrets": op6_secrets,
     "op7_pack": op7_pack,
     "op8_quality": op8_quality,
+    "op9_cover_tree": op9_cover_tree,
     "op10_warc": op10_warc,
 }
 
