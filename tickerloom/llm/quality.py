@@ -100,14 +100,21 @@ def statistics(text: str) -> tuple[int, ...]:
     )
 
 
+_COUNTED = tuple(field.split()[0] for field in STATISTICS.split(", "))[1:]
+
+
+def _measured(batch: pa.RecordBatch) -> list[pa.Array]:
+    rows = np.array([statistics(t) for t in texts_of(batch)], np.int64).reshape(-1, 6)
+    return [pa.array(column) for column in rows.T]
+
+
 def text_statistics(docs: DataFrame, *keys: str) -> DataFrame:
     """One row per document: the statistics, and ``keys`` of the document (text to group by)."""
     fields = ", ".join([STATISTICS, *(f"{k} string" for k in keys)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([statistics(t) for t in texts_of(batch)], np.int64).reshape(-1, 6)
-            columns = [batch.column("doc_id"), *map(pa.array, rows.T)]
+            columns = [batch.column("doc_id"), *_measured(batch)]
             yield pa.RecordBatch.from_arrays(
                 [*columns, *(batch.column(k) for k in keys)],
                 [f.split()[0] for f in fields.split(", ")],
@@ -266,23 +273,59 @@ def fit_groups(
     return fit
 
 
+KEYS = ("lang", "source")
+
+
+def _prepared(docs: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Statistics, base verdict and vector of every document, written once."""
+    measured = text_statistics(docs, *keys).withColumn("base_failed", base_failed())
+    return materialize(_vectors(measured), "quality")
+
+
+def _fit(table: DataFrame, keys: tuple[str, ...], support: float, steps: int) -> DataFrame:
+    return fit_groups(table.filter(~F.col("base_failed")), keys, support, steps).drop("logdet")
+
+
 def judge(
-    statistics: DataFrame, keys: tuple[str, ...] = ("lang", "source"), support: float = SUPPORT,
-    tail: float = TAIL, steps: int = STEPS,
+    table: DataFrame, fit: DataFrame, keys: tuple[str, ...] = KEYS, tail: float = TAIL
 ) -> DataFrame:
-    """The statistics table plus base_failed, distance2 and kept."""
-    table = materialize(
-        _vectors(statistics.withColumn("base_failed", base_failed())), "quality"
-    )
-    fit = fit_groups(table.filter(~F.col("base_failed")), keys, support, steps)
-    judged = _same_group(table, fit.drop("logdet"), keys)
+    """``table`` (statistics, base_failed and vector) plus distance2 and kept."""
+    judged = _same_group(table, fit, keys)
     distance = F.when(~F.col("base_failed"), _distance())
     limit = chi2_quantile(tail, len(FEATURES))
     kept = ~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= F.lit(limit))
     return judged.withColumns({"distance2": distance, "kept": kept}).drop("center", "inverse")
 
 
-def quality_report(docs: DataFrame, **rules) -> DataFrame:
+def quality_report(
+    docs: DataFrame, keys: tuple[str, ...] = KEYS, support: float = SUPPORT, tail: float = TAIL,
+    steps: int = STEPS,
+) -> DataFrame:
     """doc_id, the counts, base_failed, distance2 and kept, one row per document."""
-    judged = judge(text_statistics(docs, "lang", "source"), **rules)
+    table = _prepared(docs, keys)
+    judged = judge(table, _fit(table, keys, support, steps), keys, tail)
     return judged.select("doc_id", *COUNTS, "base_failed", "distance2", "kept")
+
+
+def keep_good(
+    docs: DataFrame, keys: tuple[str, ...] = KEYS, support: float = SUPPORT, tail: float = TAIL,
+    steps: int = STEPS,
+) -> DataFrame:
+    """The documents that pass, all columns. The estimates come from a first scan; the second
+    measures and judges each row where it is read, so no text is shuffled or matched by id."""
+    fit = _fit(_prepared(docs, keys), keys, support, steps)
+    chosen = [F.col(k).cast("string").alias(k) for k in keys]
+    nested = docs.select(F.struct("*").alias("row"), text_column().alias("text"), *chosen)
+    counted = ", ".join(f"{name} long" for name in _COUNTED)
+    named = ", ".join(f"{k} string" for k in keys)
+    schema = f"row {docs.schema.simpleString()}, {named}, {counted}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            passed = [batch.column(c) for c in ("row", *keys)]
+            yield pa.RecordBatch.from_arrays(
+                [*passed, *_measured(batch)], ["row", *keys, *_COUNTED]
+            )
+
+    measured = nested.mapInArrow(run, schema).withColumn("base_failed", base_failed())
+    return judge(_vectors(measured), fit, keys, tail).filter("kept").select("row.*")

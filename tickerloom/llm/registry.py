@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickerloom.llm import covertree, mixing, neardup, packing, quality, repeats, secret_scan, warc, wavelet
+from tickerloom.llm import covertree, edits, mixing, neardup, packing, quality, repeats, secret_scan, warc, wavelet
 from tickerloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +41,23 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"))
 
 
+def turn_edits(conversations: DataFrame) -> DataFrame:
+    """An edit log from the conversations: turn t of conversation d rewrites a passage of
+    document d with its text."""
+    size = F.coalesce(F.length("text"), F.lit(0))
+    start = (size * 37 + F.col("turn") * 101) % 3000
+    return conversations.select(
+        F.col("conv_id").alias("doc_id"), F.col("turn").alias("seq"), start.alias("start"),
+        (start + size * 13 % 120).alias("end"), F.col("text").alias("replacement"),
+    )
+
+
+def op3_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    log = turn_edits(read_table(spark, sf_dir, "conversations"))
+    return edits.apply_edits(docs, edits.count_trees(docs, BYTE_BPE), log, BYTE_BPE)
+
+
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digest(repeats.find_repeats(read_table(spark, sf_dir, "documents")))
 
@@ -62,8 +81,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
     "op1_wavelet": op1_wavelet,
     "op2_mix": op2_mix,
+    "op3_edit_counts": op3_edit_counts,
     "op4_repeats": op4_repeats,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_secrets": op6_secrets,

@@ -65,8 +65,27 @@ class ChunkEncoder:
             self.after_space[number] = token.startswith("Ġ")
 
     def encode(self, text: str) -> bytes:
+        return b"".join(self._split(text)[2]) if text else b""
+
+    def counted(self, text: str) -> tuple[list[str], list[int]]:
+        """The chunks of a text, each but the first with its space, and their token counts."""
+        if not text:
+            return [], []
+        head, rest, ids = self._split(text)
+        width = self.dtype.itemsize
+        return [head, *(f" {c}" for c in rest)], [len(i) // width for i in ids]
+
+    def measured(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Characters and tokens of the chunks of a text."""
         if not text:
-            return b""
+            return np.empty(0, np.uint64), np.empty(0, np.uint64)
+        head, rest, ids = self._split(text)
+        sizes = np.fromiter(map(len, rest), np.uint64, len(rest)) + np.uint64(1)
+        tokens = np.fromiter(map(len, ids), np.uint64, len(ids)) // np.uint64(self.dtype.itemsize)
+        return np.concatenate([[np.uint64(len(head))], sizes]), tokens
+
+    def _split(self, text: str) -> tuple[str, list[str], list[bytes]]:
+        """(first chunk, the others without their space, ids of each)."""
         if len(self.cache) > self.limit:
             self.cache.clear()
         head, *rest = text.split(" ")
@@ -79,17 +98,17 @@ class ChunkEncoder:
                 missing = {c for c in rest if c not in self.cache}
             self._learn(missing)
             found = [self.cache[c] for c in rest]
-        return self._each([head])[0] + b"".join(found)
+        return head, rest, [*self._each([head]), *found]
 
     def _each(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in encoded]
 
     def _learn(self, missing: set[str]) -> None:
-        solid = [c for c in missing if " " not in c]
+        solid = [c for c in missing if " " not in c and _bounded(c, c)]
         if len(solid) > 8 and self._learn_joined(solid):
-            solid = []
-        others = solid + [c for c in missing if " " in c]
+            missing = missing.difference(solid)
+        others = list(missing)
         self.cache.update(zip(others, self._each([f" {c}" for c in others])))
 
     def _learn_joined(self, solid: list[str]) -> bool:
