@@ -44,10 +44,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _piece_hashes(raw: np.ndarray) -> np.ndarray:
-    inside = ~SPACES[raw]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per stretch of bytes."""
     sums = np.zeros(len(raw) + 1, np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum(_CODES[raw] * _powers(_BASE, len(raw)), out=sums[1:])
@@ -56,6 +54,12 @@ def _piece_hashes(raw: np.ndarray) -> np.ndarray:
     return mixed(found)
 
 
+def _piece_hashes(raw: np.ndarray) -> np.ndarray:
+    inside = ~SPACES[raw]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    return span_hashes(raw, edges[::2], edges[1::2])
+
+
 def _pieces(raw: np.ndarray) -> Iterator[np.ndarray]:
     at = 0
     while len(raw) - at > PIECE:
@@ -75,7 +79,7 @@ def word_hashes(text: bytes) -> np.ndarray:
     """One hash per word (run of bytes other than space and 0x09..0x0D), in order."""
     raw = np.frombuffer(text, np.uint8)
     parts = [_piece_hashes(piece) for piece in _pieces(raw)]
-    return np.concatenate(parts) if len(parts) != 1 else parts[0] if parts else _NONE
+    return np.concatenate(parts) if parts else _NONE
 
 
 _NONE = np.empty(0, np.uint64)

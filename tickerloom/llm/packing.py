@@ -43,17 +43,14 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        end, width = np.array([end_id], encode.dtype).tobytes(), encode.dtype.itemsize
-        step = length * width
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                raw = encode.encode(text) + end
-                for number, at in enumerate(range(0, len(raw), step)):
-                    part = raw[at : at + step]
-                    wide = np.frombuffer(part, encode.dtype).astype("<u4")
-                    rows.append((doc_id, number, at // width, len(wide), zlib.crc32(wide),
-                                 part if keep_ids else None))
+            encoded = encode.stream(texts_of(batch), end_id)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+                for number, at in enumerate(range(0, len(ids), length)):
+                    part = ids[at : at + length]
+                    rows.append((doc_id, number, at, len(part), zlib.crc32(part.astype("<u4")),
+                                 part.tobytes() if keep_ids else None))
             columns = list(zip(*rows)) if rows else [()] * 6
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(

@@ -221,13 +221,12 @@ def write_shards(
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        end = np.array([end_id], encode.dtype).tobytes()
-        part, seq, width = TaskContext.get().partitionId(), 0, encode.dtype.itemsize
-        held: list[bytes] = []
+        part, seq = TaskContext.get().partitionId(), 0
+        held: list[np.ndarray] = []
         doc_ids, counts, size = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), encode.dtype)
+            ids = np.concatenate(held)
             uri = write_bytes(folder, f"{part:06d}-{seq:06d}", pack_shard(doc_ids, counts, ids))
             row = [[part], [seq], [uri], [len(doc_ids)], [size]]
             types = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64())
@@ -237,15 +236,15 @@ def write_shards(
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch)):
-                raw = encode.encode(text) + end
-                if doc_ids and size + len(raw) // width > shard_tokens:
+            encoded = encode.stream(texts_of(batch), end_id)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
+                if doc_ids and size + len(ids) > shard_tokens:
                     yield flush()
                     held, doc_ids, counts, size, seq = [], [], [], 0, seq + 1
-                held.append(raw)
+                held.append(ids)
                 doc_ids.append(doc_id)
-                counts.append(len(raw) // width)
-                size += counts[-1]
+                counts.append(len(ids))
+                size += len(ids)
         if doc_ids:
             yield flush()
 
