@@ -76,11 +76,18 @@ def test_ranges_and_kept_text_belong_together(spark):
         assert row["text"] == " ".join(x for k, x in enumerate(w) if k not in gone)
 
 
-def test_more_words_than_one_alphabet_holds(spark, monkeypatch):
-    monkeypatch.setattr(repeats, "_ALPHABET", 5)
+def test_words_of_several_digits(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "_BASE_BITS", 2)
     rows = passages(30)
     found = repeats.repeat_digest(repeats.find_repeats(documents(spark, rows))).collect()
     assert sorted(map(tuple, found)) == sorted(expected(rows))
+    distinct = np.arange(40, dtype=np.uint64)
+    alphabet, width = repeats._alphabet(distinct)
+    assert width == 3
+    spelled = repeats._spell(distinct, alphabet, width)
+    words_of = {spelled[k : k + 3] for k in range(0, 120, 3)}
+    assert len(words_of) == 40
+    assert repeats._spell(np.array([99], np.uint64), alphabet, width) not in words_of
 
 
 def test_an_empty_table_gives_no_rows(spark):

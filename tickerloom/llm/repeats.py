@@ -9,10 +9,11 @@ starts in a document with a smaller doc_id. Windows are judged on the input.
    sorted and as compressed byte planes. A bucket tells each chunk, by one bit per window, which
    of its windows start in a smaller document elsewhere. A window that a third of all documents
    share is one entry per chunk.
-3. Compile and stream: recurring windows of a shard of documents become the patterns of one
-   pyahocorasick automaton over words (a word is one character of a private alphabet), with the
-   smallest doc_id as value. All the shard's documents stream through it, which locates every
-   occurrence; hits from a smaller document cover their words.
+3. Compile and stream: the recurring passages of a shard of documents are cut into phrases of
+   seven words (of half a window in general), so laid that every recurring window holds a whole
+   phrase. The phrases become one pyahocorasick automaton over words (a word is a few characters
+   of a private alphabet). All the shard's documents stream through it, which locates every
+   occurrence; the windows around a hit are confirmed by their hashes and cover their words.
 
 The smallest ids meet in the bucket, so nothing is compared pair by pair. Chunks and buckets have
 a size, not a share: both their numbers grow with the corpus. For much larger corpora raise
@@ -52,8 +53,8 @@ REPEATS = (
 
 _NEVER = np.iinfo(np.int64).max  # owner of windows of documents without an id
 _CHUNK_BITS = 32
-#: Distinct words of a shard that fit one character each (surrogates left out).
-_ALPHABET = 0x110000 - 0x800 - 1
+#: A word is a number of digits to this base: a trie node looks its children up one by one.
+_BASE_BITS = 8
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -115,8 +116,9 @@ class _Chunk:
         self.texts = [raw[a:b] for a, b in zip(edges, edges[1:])]
         self.words = [word_hashes(t) for t in self.texts]
 
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """(distinct window hashes, ascending; smallest doc_id of each)."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(distinct window hashes, ascending; smallest doc_id of each; for each document the
+        places of its windows among them)."""
         each = [window_hashes(w, size) for w in self.words]
         owners = np.repeat(
             np.array([_NEVER if i is None else i for i in self.ids], np.int64),
@@ -124,11 +126,16 @@ class _Chunk:
         )
         hashes = np.concatenate(each)
         order = np.argsort(hashes, kind="stable")
-        hashes, owners = hashes[order], owners[order]
-        first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
-        if not len(first):
-            return hashes, owners
-        return hashes[first], np.minimum.reduceat(owners, first)
+        ranked = hashes[order]
+        fresh = np.ones(len(ranked), bool)
+        fresh[1:] = ranked[1:] != ranked[:-1]
+        places = np.empty(len(order), np.int64)
+        places[order] = np.cumsum(fresh) - 1
+        cuts = np.cumsum([len(w) for w in each])[:-1]
+        first = np.flatnonzero(fresh)
+        if len(first):
+            owners = np.minimum.reduceat(owners[order], first)
+        return ranked[first], owners, np.split(places, cuts)
 
 
 def _edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
@@ -146,7 +153,7 @@ def _fingerprints(chunks: DataFrame, size: int, buckets: int) -> DataFrame:
         codec = _codec()
         for batch in batches:
             for chunk in _rows(batch):
-                hashes, owners = _Chunk(chunk).windows(size)
+                hashes, owners, _ = _Chunk(chunk).windows(size)
                 edges, rows = _edges(hashes, buckets), []
                 for bucket, (a, b) in enumerate(zip(edges, edges[1:])):
                     if a < b:
@@ -203,61 +210,84 @@ def _mark(group: pa.Table) -> pa.Table:
 
 
 def _alphabet(words: np.ndarray) -> tuple[np.ndarray, int]:
-    """Distinct word hashes of the patterns, and characters per word (2 if one is too few)."""
+    """Distinct word hashes of the patterns, and digits per word."""
     distinct = np.unique(words)
-    return distinct, 1 if len(distinct) < _ALPHABET else 2
+    return distinct, max(1, -(-int(len(distinct)).bit_length() // _BASE_BITS))
 
 
 def _spell(words: np.ndarray, alphabet: np.ndarray, width: int) -> str:
-    """Words as characters; a word of no pattern is the last character."""
+    """Words as ``width`` characters each; a word of no pattern has a character of its own."""
+    other = (1 << _BASE_BITS) + 1
     if not len(alphabet):
-        return "\0" * (len(words) * width)
+        return chr(other) * (len(words) * width)
     at = np.minimum(np.searchsorted(alphabet, words), len(alphabet) - 1)
-    letters = np.where(alphabet[at] == words, at, len(alphabet)).astype(np.uint32)
-    if width == 2:
-        letters = np.stack([letters >> 16, letters & 0xFFFF], 1).ravel()
-    letters += np.uint32(1)
-    letters[letters >= 0xD800] += np.uint32(0x800)
-    return letters.astype("<u4").tobytes().decode("utf-32-le")
+    shifts = _BASE_BITS * np.arange(width - 1, -1, -1)
+    digits = ((at[:, None] >> shifts) & ((1 << _BASE_BITS) - 1)) + 1
+    digits[alphabet[at] != words] = other
+    return digits.astype("<u2").tobytes().decode("utf-16-le")
+
+
+def _phrase(size: int) -> tuple[int, int]:
+    """(words of a phrase, distance of phrases in a passage): any window has a whole one."""
+    words = (size + 1) // 2
+    return words, size - words + 1
+
+
+def _phrase_starts(need: np.ndarray, step: int) -> np.ndarray:
+    """Where phrases start so that each needed window holds one: every ``step`` words of a run."""
+    turns = np.flatnonzero(np.diff(need, prepend=False, append=False))
+    first, end = turns[::2], turns[1::2]
+    counts = (end - 1 - first + step - 1) // step + 1
+    within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.repeat(first, counts) + step * within
 
 
 class _Shard:
-    """The automaton of a shard of documents, and what it removes from each."""
+    """The automaton of a shard of documents."""
 
-    def __init__(self, size: int, words: list[np.ndarray], starts: list[np.ndarray],
-                 owners: list[np.ndarray]):
-        """``starts``: positions of pattern windows in each document; ``owners``: their values."""
+    def __init__(self, size: int, words: list[np.ndarray], need: list[np.ndarray]):
+        """``need``: which windows of each document it must be able to locate."""
         import ahocorasick
 
         self.size = size
+        self.phrase, step = _phrase(size)
+        starts = [_phrase_starts(n, step) for n in need]
         inside = [
-            w[np.unique((s[:, None] + np.arange(size)).ravel())] if len(s) else w[:0]
+            w[np.unique((s[:, None] + np.arange(self.phrase)).ravel())] if len(s) else w[:0]
             for w, s in zip(words, starts)
         ]
         self.alphabet, self.width = _alphabet(np.concatenate(inside))
-        self.automaton = ahocorasick.Automaton()
-        span = size * self.width
-        for w, s, o in zip(words, starts, owners):
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        span = self.phrase * self.width
+        for w, s in zip(words, starts):
             if len(s):
                 spelled = _spell(w, self.alphabet, self.width)
-                for at, owner in zip((s * self.width).tolist(), o.tolist()):
-                    self.automaton.add_word(spelled[at : at + span], owner)
+                for at in (s * self.width).tolist():
+                    self.automaton.add_word(spelled[at : at + span])
         self.any = len(self.automaton) > 0
         if self.any:
             self.automaton.make_automaton()
 
-    def covered(self, words: np.ndarray, doc_id: int) -> np.ndarray:
-        """Per word: whether a located window of a smaller document covers it."""
-        steps = np.zeros(len(words) + 1, np.int32)
-        if self.any and len(words) >= self.size:
-            spelled = _spell(words, self.alphabet, self.width)
-            hits = [end for end, owner in self.automaton.iter(spelled) if owner < doc_id]
-            ends = np.array(hits, np.int64) + 1
-            if self.width == 2:
-                ends = ends[ends % 2 == 0] // 2
-            np.add.at(steps, ends - self.size, 1)
-            np.add.at(steps, ends, -1)
-        return np.cumsum(steps[:-1]) > 0
+    def located(self, words: np.ndarray) -> np.ndarray:
+        """Per window: whether it holds a phrase that the automaton finds."""
+        windows = max(0, len(words) - self.size + 1)
+        if not (self.any and windows):
+            return np.zeros(windows, bool)
+        spelled = _spell(words, self.alphabet, self.width)
+        ends = np.array([end for end, _ in self.automaton.iter(spelled)], np.int64) + 1
+        ends = ends[ends % self.width == 0] // self.width
+        low = np.clip(ends - self.size, 0, windows)
+        high = np.clip(ends - self.phrase + 1, 0, windows)
+        steps = np.bincount(low, minlength=windows + 1) - np.bincount(high, minlength=windows + 1)
+        return np.cumsum(steps[:windows]) > 0
+
+
+def _covered(removed: np.ndarray, size: int) -> np.ndarray:
+    """Per word: whether a removed window covers it."""
+    steps = np.zeros(len(removed) + size, np.int32)
+    steps[: len(removed)] += removed
+    steps[size:] -= removed
+    return np.cumsum(steps)[:-1] > 0
 
 
 def _shards(texts: list[bytes], shard_chars: int) -> Iterator[range]:
@@ -272,7 +302,7 @@ def _shards(texts: list[bytes], shard_chars: int) -> Iterator[range]:
 
 def _remove(row: dict, size: int, buckets: int, shard_chars: int) -> Iterator[tuple]:
     chunk = _Chunk(row)
-    hashes, owners = chunk.windows(size)
+    hashes, owners, places = chunk.windows(size)
     edges = _edges(hashes, buckets)
     elsewhere = np.zeros(len(hashes), bool)
     for mark in row["marked"] or []:
@@ -283,19 +313,19 @@ def _remove(row: dict, size: int, buckets: int, shard_chars: int) -> Iterator[tu
     first = np.where(elsewhere, np.iinfo(np.int64).min, owners)
     for shard in _shards(chunk.texts, shard_chars):
         words = [chunk.words[i] for i in shard]
-        starts, values, taken = [], [], np.zeros(len(hashes), bool)
-        for i, w in zip(shard, words):
-            at = np.searchsorted(hashes, window_hashes(w, size))
-            own = chunk.ids[i]
-            recurs = (first[at] < own) & ~taken[at] if own is not None else np.zeros(len(at), bool)
+        recurring, need, taken = [], [], np.zeros(len(hashes), bool)
+        for i in shard:
+            at, own = places[i], chunk.ids[i]
+            recurs = first[at] < own if own is not None else np.zeros(len(at), bool)
+            recurring.append(recurs)
+            need.append(recurs & ~taken[at])
             taken[at[recurs]] = True
-            place = np.flatnonzero(recurs)
-            starts.append(place)
-            values.append(first[at[place]])
-        automaton = _Shard(size, words, starts, values)
-        for i, w in zip(shard, words):
+        automaton = _Shard(size, words, need)
+        for i, w, recurs in zip(shard, words, recurring):
             own, text = chunk.ids[i], chunk.texts[i].split()
-            gone = automaton.covered(w, own) if own is not None else np.zeros(len(w), bool)
+            removed = automaton.located(w)
+            removed &= recurs
+            gone = _covered(removed, size) if len(removed) else np.zeros(len(w), bool)
             turns = np.flatnonzero(np.diff(gone, prepend=False, append=False))
             spans = [{"start": a, "end": b} for a, b in zip(turns[::2], turns[1::2])]
             kept = b" ".join(compress(text, ~gone) if spans else text)
@@ -312,8 +342,7 @@ def find_repeats(
     total = chunks.agg(F.sum("n_words").alias("n")).first()["n"] or 0
     buckets = max(1, -(-total // bucket_windows))
     tasks = task_count(docs.sparkSession)
-    spread = chunks.repartition(tasks, "chunk")
-    prints = _fingerprints(spread, size, buckets)
+    prints = _fingerprints(chunks, size, buckets)
     marks = (
         prints.repartition(max(buckets, tasks), "bucket").groupBy("bucket")
         .applyInArrow(_mark, MARKS)
