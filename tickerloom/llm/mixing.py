@@ -72,8 +72,8 @@ def systematic_copies(
     The ordered rows are written once: ranks then rest on one layout, whatever is recomputed.
     """
     carried = sized.columns
-    tie = F.xxhash64(F.lit(seed), "doc_id")
-    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("_tie")]
+    tie = F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("_tie"), F.col("doc_id")]
     laid = (
         sized.withColumn("_tie", tie)
         .repartitionByRange(*order).sortWithinPartitions(*order)
@@ -89,7 +89,11 @@ def systematic_copies(
     )
     before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
     # A multiple of 2**-20, so that adding it to a whole or half number of copies is exact.
-    offset = F.pmod(F.xxhash64(F.lit(seed), "source"), F.lit(1 << 20)) / F.lit(1 << 20)
+    named = F.concat(
+        F.lit(f"{seed}/"), F.coalesce("source", F.lit("")), F.lit("/"),
+        F.when(F.col("source").isNull(), "none").otherwise("some"),
+    )
+    offset = F.conv(F.substring(F.md5(named), 1, 5), 16, 10).cast("long") / F.lit(1 << 20)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size"))
     drawn = targets.select(
         F.col("source").alias("_of"), "source_size", "target",

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 
 from tickerloom.llm import covertree, edits, mixing, neardup, packing, quality, repeats, secret_scan, warc, wavelet
 from tickerloom.llm.common import read_table
+from tickerloom.llm.oracles import ORACLE_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -93,5 +96,3 @@ QUERIES: dict[str, Query] = {
     "op9_cover_tree": op9_cover_tree,
     "op10_warc": op10_warc,
 }
-
-ORACLE_SQL: dict[str, str] = {}
