@@ -13,7 +13,8 @@ can hold many chunks after an insertion; a tree with twice as many chunks as lea
 anew from its counts.
 
 ``apply_edits`` sends a document and its edits through one task in edit order, as a sorted stream:
-memory holds one document, however many edits it has. Documents without edits are not moved.
+memory holds one document, however many edits it has. Documents without edits are not moved: a
+bitmap of the edited ids, of a fixed size, keeps nearly all of them out of the shuffle.
 
 Defined cases: a null text is empty (no tokens); positions are cut to the text and a reversed
 range is empty; a null replacement is empty, null positions are 0; edits of unknown documents are
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm.common import materialize, task_count, text_column, texts_of
@@ -45,6 +46,9 @@ COUNTS = (
 )
 
 
+_BITS = 1 << 23
+
+
 def _codec() -> pa.Codec:
     return pa.Codec("zstd", 1)
 
@@ -216,6 +220,26 @@ def load_tree(text: str, n: int, chars: bytes, tokens: bytes, encode: ChunkEncod
     return CountTree(chunks, unpack_integers(tokens, n, codec).astype(np.int64).tolist(), encode)
 
 
+def _marked(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows with ``_edited``: false only if their doc_id is surely not among the named ones.
+
+    The bitmap has ``_BITS`` bits in words of 64, so the side that is broadcast has at most
+    131,072 rows of two numbers however many ids there are.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(_BITS))
+    bit = F.expr("shiftleft(1L, cast(_place % 64 as int))")
+    word = F.floor(F.col("_place") / 64).cast("int")
+    words = (
+        named.select(place.alias("_place"))
+        .groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    )
+    marked = rows.withColumn("_place", place).withColumn("_word", word)
+    edited = F.coalesce(F.col("_bits"), F.lit(0).cast("long")).bitwiseAND(bit) != 0
+    return marked.join(F.broadcast(words), "_word", "left").select(
+        *rows.columns, (edited & F.col("doc_id").isNotNull()).alias("_edited")
+    )
+
+
 def apply_edits(
     docs: DataFrame, trees: DataFrame, edits: DataFrame, tokenizer: str
 ) -> DataFrame:
@@ -232,32 +256,38 @@ def apply_edits(
         F.coalesce("replacement", F.lit("")).alias("replacement"),
     )
     changes = materialize(changes, "edits")
+    named = changes.select("doc_id")
     texts = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
-    named = changes.select("doc_id").distinct()
-    touched = trees.join(named, "doc_id", "left_semi")
-    still = trees.join(named, "doc_id", "left_anti")
-    copies = touched.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
-    kept = touched.dropDuplicates(["doc_id", "text_hash"]).join(copies, ["doc_id", "text_hash"])
-    held = texts.join(named, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    bases = held.join(kept, ["doc_id", "text_hash"])
+    known = _marked(trees, named)
+    touched, still = known.filter("_edited"), known.filter("NOT _edited")
+    held = _marked(texts, named).filter("_edited")
     # Every version of a document (rows with one doc_id) gets the edits of its doc_id.
-    events = changes.join(kept.select("doc_id", "text_hash"), "doc_id")
-    base_rows = bases.select(
-        "doc_id", "text_hash", F.lit(0).alias("kind"), zero.alias("seq"),
-        F.col("copies").alias("start"), F.col("n_leaves").cast("long").alias("end"),
-        "text", "chars", "tokens",
-    )
-    none = F.lit(None).cast("binary")
-    edit_rows = events.select(
-        "doc_id", "text_hash", F.lit(1).alias("kind"), "seq", "start", "end",
-        F.col("replacement").alias("text"), none.alias("chars"), none.alias("tokens"),
+    versions = touched.select("doc_id", "text_hash").distinct()
+    none, blank = F.lit(None).cast("binary"), F.lit("")
+    event = {"seq": zero, "start": zero, "end": zero, "text": blank, "chars": none, "tokens": none}
+
+    def as_events(rows: DataFrame, kind: int, **columns: Column) -> DataFrame:
+        filled = event | columns
+        return rows.select(
+            "doc_id", "text_hash", F.lit(kind).alias("kind"),
+            *[column.alias(name) for name, column in filled.items()],
+        )
+
+    named_columns = {c: F.col(c) for c in ("chars", "tokens")}
+    stream = (
+        as_events(touched, 0, end=F.col("n_leaves").cast("long"), **named_columns)
+        .unionByName(as_events(held, 1, text=F.col("text")))
+        .unionByName(as_events(
+            changes.join(versions, "doc_id"), 2, seq=F.col("seq"), start=F.col("start"),
+            end=F.col("end"), text=F.col("replacement"),
+        ))
     )
     order = ["doc_id", "text_hash", "kind", "seq", "start", "end", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        at, tree, before, n, copies = None, None, 0, 0, 0
+        at, kept, tree, before, n, copies = None, None, None, 0, 0, 0
         done: list[tuple] = []
 
         def close() -> None:
@@ -274,14 +304,18 @@ def apply_edits(
             )
 
         for batch in batches:
-            for row in zip(*(batch.column(i) for i in range(batch.num_columns))):
+            for row in zip(*(batch.column(c) for c in (*order, "chars", "tokens"))):
                 doc, mark, kind, _, start, end, text, chars, tokens = (v.as_py() for v in row)
-                if kind == 0:
+                if at != (doc, mark):
                     close()
-                    at, n, copies = (doc, mark), 0, start
-                    tree = load_tree(text, end, chars, tokens, encode)
-                    before = tree.n_tokens
-                elif at == (doc, mark):
+                    at, kept, tree, n, copies = (doc, mark), None, None, 0, 0
+                if kind == 0:  # one row per document with this text
+                    kept, copies = (end, chars, tokens), copies + 1
+                elif kind == 1:
+                    if tree is None:
+                        tree = load_tree(text, *kept, encode)
+                        before = tree.n_tokens
+                else:
                     tree.edit(start, end, text)
                     n += 1
             yield flush()
@@ -289,11 +323,8 @@ def apply_edits(
         yield flush()
 
     tasks = task_count(docs.sparkSession)
-    stream = (
-        base_rows.unionByName(edit_rows).repartition(tasks, "doc_id", "text_hash")
-        .sortWithinPartitions(*order)
-    )
-    edited = stream.mapInArrow(run, COUNTS)
+    dealt = stream.repartition(tasks, "doc_id", "text_hash").sortWithinPartitions(*order)
+    edited = dealt.mapInArrow(run, COUNTS)
     same = still.select(
         "doc_id", zero.alias("n_edits"), F.col("n_tokens").alias("tokens_before"),
         F.col("n_tokens").alias("tokens_after"), F.col("n_chars").alias("chars_after"),
