@@ -33,6 +33,7 @@ PLACES = "sequence_id long, offset long"
 LENGTH = 4096
 GROUP_TOKENS = 1 << 24
 GROUP_PIECES = 1 << 16
+_ROWS = 1000  # pieces returned to Spark at a time
 _LOCAL_BITS = 32  # sequence_id: group above, number in the group below
 
 
@@ -43,6 +44,15 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
+
+        def block(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows)) if rows else [()] * 6
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types)],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
+            )
+
         for batch in batches:
             rows: list[tuple] = []
             encoded = encode.stream(texts_of(batch), end_id)
@@ -51,12 +61,10 @@ def token_pieces(
                     part = ids[at : at + length]
                     rows.append((doc_id, number, at, len(part), zlib.crc32(part.astype("<u4")),
                                  part.tobytes() if keep_ids else None))
-            columns = list(zip(*rows)) if rows else [()] * 6
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
-            )
+                if len(rows) >= _ROWS:
+                    yield block(rows)
+                    rows = []
+            yield block(rows)
 
     rows = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"))
     return rows.mapInArrow(cut, PIECES)

@@ -19,7 +19,7 @@ other columns are ignored by ``quality_report`` and kept by ``keep_good``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -103,8 +103,8 @@ def statistics(text: str) -> tuple[int, ...]:
 _COUNTED = tuple(field.split()[0] for field in STATISTICS.split(", "))[1:]
 
 
-def _measured(batch: pa.RecordBatch) -> list[pa.Array]:
-    rows = np.array([statistics(t) for t in texts_of(batch)], np.int64).reshape(-1, 6)
+def _measured(texts: Iterable[str]) -> list[pa.Array]:
+    rows = np.array([statistics(t) for t in texts], np.int64).reshape(-1, 6)
     return [pa.array(column) for column in rows.T]
 
 
@@ -114,7 +114,7 @@ def text_statistics(docs: DataFrame, *keys: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column("doc_id"), *_measured(batch)]
+            columns = [batch.column("doc_id"), *_measured(texts_of(batch))]
             yield pa.RecordBatch.from_arrays(
                 [*columns, *(batch.column(k) for k in keys)],
                 [f.split()[0] for f in fields.split(", ")],
@@ -315,7 +315,8 @@ def keep_good(
     measures and judges each row where it is read, so no text is shuffled or matched by id."""
     fit = _fit(_prepared(docs, keys), keys, support, steps)
     chosen = [F.col(k).cast("string").alias(k) for k in keys]
-    nested = docs.select(F.struct("*").alias("row"), text_column().alias("text"), *chosen)
+    nested = docs.select(F.struct("*").alias("row"), *chosen)
+    place = docs.columns.index("text")
     counted = ", ".join(f"{name} long" for name in _COUNTED)
     named = ", ".join(f"{k} string" for k in keys)
     schema = f"row {docs.schema.simpleString()}, {named}, {counted}"
@@ -323,8 +324,9 @@ def keep_good(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             passed = [batch.column(c) for c in ("row", *keys)]
+            texts = (value.as_py() or "" for value in passed[0].field(place))
             yield pa.RecordBatch.from_arrays(
-                [*passed, *_measured(batch)], ["row", *keys, *_COUNTED]
+                [*passed, *_measured(texts)], ["row", *keys, *_COUNTED]
             )
 
     measured = nested.mapInArrow(run, schema).withColumn("base_failed", base_failed())

@@ -25,10 +25,13 @@ from tickerloom.llm.hashing import SPACES, span_hashes
 CACHE_CHUNKS = 500_000
 
 #: Distinct pieces the array table holds before it starts afresh (about 30 bytes each).
-TABLE_PIECES = 3_000_000
+TABLE_PIECES = 2_000_000
 #: Characters that are encoded at a time as arrays.
 STREAM_CHARS = 1 << 22
 
+#: Bytes that are hashed at a time: hashing takes some 40 bytes a byte.
+HASH_BYTES = 1 << 19
+
 #: White space other than the six ASCII characters; texts with any take the slower way.
 _OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -80,6 +83,16 @@ def piece_starts(raw: np.ndarray, doc_starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def _hashed(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``span_hashes`` of adjacent pieces, some bytes at a time."""
+    cuts = np.unique(np.searchsorted(starts, np.arange(0, len(raw), HASH_BYTES)))
+    parts = [
+        span_hashes(raw[starts[i] : ends[j - 1]], starts[i:j] - starts[i], ends[i:j] - starts[i])
+        for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(starts)]) if i < j
+    ]
+    return np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+
 class _Table:
     """Ids by piece hash: sorted hashes, with a place in one pool of ids each."""
 
@@ -180,7 +193,7 @@ class ChunkEncoder:
         starts = piece_starts(raw, doc_starts[sizes > 0])
         ends = np.append(starts[1:], len(raw))[: len(starts)]
         hashes, first, inverse = np.unique(
-            span_hashes(raw, starts, ends), return_index=True, return_inverse=True
+            _hashed(raw, starts, ends), return_index=True, return_inverse=True
         )
         if len(self.table.hashes) + len(hashes) > TABLE_PIECES:
             self.table = _Table(self.dtype)
