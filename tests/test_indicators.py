@@ -190,10 +190,10 @@ def test_feature_plan_has_one_exchange_one_sort_and_no_python(make_bars, params,
     assert "Python" not in plan and "Pandas" not in plan
 
 
-def test_macd_plan_has_one_exchange_and_two_sorts(make_bars, params):
+def test_macd_plan_has_one_exchange_and_a_sort_per_average(make_bars, params):
     plan = plan_of(add_macd(make_bars({"AAA": walk(40)}), params))
     assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.count("Sort [") == 2
+    assert plan.count("Sort [") == 4
 
 
 @pytest.mark.parametrize("spans", [(12, 26, 9), (1, 2, 3), (2, 900), (5,), (1,), (200, 2000)])
@@ -226,3 +226,40 @@ def test_side_features_drop_the_warm_up(make_bars, column, params):
     assert out.filter("ticker = 'AAA'").count() == 29
     assert out.filter("ticker = 'BBB'").count() == 0
     assert not [r for r in out.collect() if None in tuple(r)]
+
+
+def gapped(seed, n, share):
+    rng = np.random.default_rng(seed)
+    values = 100 + np.cumsum(rng.normal(size=n))
+    values[rng.random(n) < share] = np.nan
+    return values
+
+
+@pytest.mark.parametrize("case", ["lead", "holes", "tail", "long gap", "none", "sparse"])
+@pytest.mark.parametrize("spans", [(9, 12, 26), (2, 200), (1, 3)])
+def test_ema_weighs_gaps_like_the_recursion(spark, case, spans):
+    values = {
+        "lead": np.concatenate([np.full(700, np.nan), gapped(1, 900, 0.0)]),
+        "holes": gapped(2, 1500, 0.3),
+        "tail": np.concatenate([gapped(3, 40, 0.1), np.full(1200, np.nan)]),
+        "long gap": np.concatenate([gapped(4, 90, 0.1), np.full(2900, np.nan), gapped(5, 90, 0.0)]),
+        "none": np.full(30, np.nan),
+        "sparse": np.where(np.arange(2500) % 211 == 3, gapped(6, 2500, 0.0), np.nan),
+    }[case]
+    rows = [("A", day(k), None if np.isnan(v) else float(v)) for k, v in enumerate(values)]
+    table = spark.createDataFrame(rows, "ticker string, date date, x double")
+    out = add_emas(table, "x", {f"e{s}": s for s in spans}).toPandas().sort_values("date")
+    for span in spans:
+        expected = pd.Series(values).ewm(span=span, adjust=False).mean().to_numpy()
+        found = out[f"e{span}"].to_numpy(dtype=float)
+        assert np.array_equal(np.isnan(expected), np.isnan(found))
+        assert np.allclose(expected, found, rtol=1e-9, atol=1e-9, equal_nan=True)
+
+
+def test_ema_of_the_documented_example(spark):
+    values = [None, 10.0, 12.0, None, 11.0, 13.0]
+    table = spark.createDataFrame(
+        [("A", day(k), v) for k, v in enumerate(values)], "ticker string, date date, x double"
+    )
+    rows = add_emas(table, "x", {"e": 9}).orderBy("date").collect()
+    assert [r.e and round(r.e, 2) for r in rows] == [None, 10.0, 10.4, 10.4, 10.54, 11.03]

@@ -1,6 +1,7 @@
 import math
 import random
 from dataclasses import replace
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -68,9 +69,15 @@ def test_more_clusters_than_labels_is_an_error(four_groups):
         clustering.cluster_profiles(four_groups, replace(SMALL, clusters=5))
 
 
-def test_beyond_the_limit_the_score_is_squared(four_groups):
-    found = clustering.cluster_profiles(four_groups, replace(SMALL, exact_silhouette_limit=3))
-    assert found.silhouette_metric == "squared_euclidean" and found.silhouette > 0.9
+@pytest.mark.parametrize("copies", [1, 40])
+def test_the_caller_names_the_metric_at_any_size(four_groups, copies):
+    many = four_groups.withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    many = many.withColumn("ticker", F.concat("ticker", F.lit("-"), "_n")).drop("_n")
+    for metric in ("euclidean", "squared_euclidean"):
+        found = clustering.cluster_profiles(many, replace(SMALL, silhouette_metric=metric))
+        assert found.silhouette_metric == metric and found.silhouette > 0.9
+    with pytest.raises(ValueError, match="cosine"):
+        clustering.cluster_profiles(four_groups, replace(SMALL, silhouette_metric="cosine"))
 
 
 def test_rank_clips_beta_and_sharpe(spark):
@@ -111,14 +118,14 @@ def brute_silhouette(vectors, labels, squared=False):
     return np.array(out)
 
 
-@pytest.mark.parametrize("block_rows", [7, 1024])
+@pytest.mark.parametrize("block_rows", [7, 8192])
 def test_exact_silhouette_equals_brute_force(spark, block_rows):
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(60, 3))
     labels = rng.integers(0, 4, size=60)
     labels[0] = 9
-    rows = [(i, int(c), v.tolist()) for i, (c, v) in enumerate(zip(labels, vectors))]
-    points = spark.createDataFrame(rows, "id bigint, cluster int, vector array<double>")
+    rows = [(f"p{i:02}", int(c), v.tolist()) for i, (c, v) in enumerate(zip(labels, vectors))]
+    points = spark.createDataFrame(rows, "id string, cluster int, vector array<double>")
     samples = silhouette.silhouette_samples(points, block_rows).orderBy("id").collect()
     assert np.allclose([r.silhouette for r in samples], brute_silhouette(vectors, labels))
     mean = silhouette.silhouette_exact(points, block_rows).first().silhouette
@@ -153,15 +160,34 @@ def test_predictor_finds_the_planted_signal(planted):
     assert values == sorted(values, reverse=True)
 
 
-def test_training_repeats_exactly(planted):
+@pytest.mark.parametrize("name", classify.CONTENDERS)
+def test_training_does_not_depend_on_the_layout(planted, name):
+    params = replace(SMALL, fit_partitions=5)
+    results = []
+    for table in (planted.coalesce(1), planted.repartition(7), planted.orderBy(F.rand(1))):
+        train, test = classify.split_rows(table, params)
+        scored = classify.score_rows(test, classify.fit_contender(train, name, params), params)
+        rows = scored.select("ticker", "date", "probability_up").collect()
+        results.append(sorted(map(tuple, rows)))
+    assert results[0] == results[1] == results[2]
+
+
+def test_an_empty_fold_is_an_error(planted):
+    few = planted.orderBy("date", "ticker").limit(6)
+    train, _ = classify.split_rows(few, replace(SMALL, test_share=0.0, folds=50))
+    with pytest.raises(ValueError, match="has no rows"):
+        classify.cross_validate(train, classify.FOREST, replace(SMALL, folds=50))
+
+
+def test_the_cut_reaches_the_scan_and_can_leave_a_gap(planted):
     train, test = classify.split_rows(planted, SMALL)
-    results = [
-        sorted(map(tuple, classify.score_rows(
-            test, classify.fit_contender(train, classify.FOREST, SMALL), SMALL
-        ).select("ticker", "date", "probability_up").collect()))
-        for _ in range(2)
-    ]
-    assert results[0] == results[1]
+    assert train.count() + test.count() == planted.count()
+    plan = test._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "GreaterThanOrEqual(date," in plan
+    first = test.agg(F.min("date")).first()[0]
+    gapped, same = classify.split_rows(planted, replace(SMALL, gap_days=5))
+    assert same.count() == test.count()
+    assert (first - gapped.agg(F.max("date")).first()[0]).days == 6
 
 
 def test_scoring_reads_missing_predictors_as_zero(planted):
@@ -218,6 +244,14 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert 0.0 <= saved.return_prediction.accuracy <= 1.0
     clean = spark.read.parquet(folder.clean)
     assert clean.count() == 8 * 120
+    removed = pipeline.read_removed(spark, folder).first()
+    assert (removed.rows_in, removed.duplicate_rows) == (len(rows), len(rows) - 8 * 120)
+    swept = pipeline.read_sweep(spark, folder).collect()
+    assert sorted(r.k for r in swept) == [2, 3, 4] and sum(r.is_best for r in swept) == 1
+    report = {r.scope: r.support for r in pipeline.read_report(spark, folder).collect()}
+    assert report["macro avg"] == report["weighted avg"] > 0
+    scratch = Path(spark.conf.get("spark.checkpoint.dir")) / "tickerloom"
+    assert not list(scratch.glob("run-*/*"))
     features = spark.read.parquet(folder.features)
     assert set(features.columns) == set(SMALL.feature_columns) and features.count() == 8 * 120
     exported = spark.read.option("header", True).csv(folder.features_csv)

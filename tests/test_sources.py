@@ -1,4 +1,5 @@
 import datetime as dt
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
@@ -82,6 +83,43 @@ def test_ingest_prefers_the_cache(spark, csv_folder, tmp_path):
     assert first == 5 and [(r.ticker, r.date) for r in again] == [("AAA", day(1))]
 
 
+def test_one_cache_serves_a_wider_request(spark, csv_folder, tmp_path):
+    cache = str(tmp_path / "cache")
+    only = Params(universe=("AAA",), start=day(1), end=day(1))
+    with pytest.warns(UserWarning, match="1 of 7 rows"):
+        assert raw.ingest(spark, csv_folder, cache, only).count() == 1
+    assert raw.ingest(spark, "/nowhere", cache, WIDE).count() == 5
+
+
+def test_refresh_reads_the_folder_again(spark, tmp_path):
+    folder, cache = tmp_path / "raw", str(tmp_path / "cache")
+    folder.mkdir()
+    (folder / "a.csv").write_text("date,ticker,close\n2024-01-02,A,1\n")
+    assert raw.ingest(spark, str(folder), cache, WIDE).count() == 1
+    (folder / "b.csv").write_text("date,ticker,close\n2024-01-03,A,2\n")
+    assert raw.ingest(spark, str(folder), cache, WIDE).count() == 1
+    assert raw.ingest(spark, str(folder), cache, WIDE, refresh=True).count() == 2
+
+
+def test_dates_in_other_formats_are_kept_or_reported(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "a.csv").write_text("date,ticker,close\n01/15/2021,A,1\n02/15/2021,A,2\n")
+    formats = replace(WIDE, date_formats=("MM/dd/yyyy",))
+    bars = raw.ingest(spark, str(folder), str(tmp_path / "cache"), formats)
+    assert sorted(r.date for r in bars.collect()) == [dt.date(2021, 1, 15), dt.date(2021, 2, 15)]
+    other = str(tmp_path / "other")
+    with pytest.raises(ValueError, match="none of the 2 dates"):
+        raw.ingest(spark, str(folder), other, WIDE)
+    assert raw.ingest(spark, "/nowhere", other, formats).count() == 2
+
+
+def test_headers_that_collide_are_an_error(spark):
+    table = spark.createDataFrame([(1, 2)], "Close int, `close ` int")
+    with pytest.raises(ValueError, match="'Close'.*'close '"):
+        raw.normalize_columns(table)
+
+
 def test_coerce_fills_volume_only_when_asked(spark):
     text = spark.createDataFrame(
         [("2024-01-02", " x ", "1", "n/a", "keep out"), ("01/15/2024", "y", "2", "3.9", "")],
@@ -107,8 +145,10 @@ def test_ticker_tables_keep_numeric_looking_tickers(spark, make_bars, tmp_path,
     back = tables.read_by_ticker(spark, path, bars.schema)
     assert back.schema == bars.schema
     assert sorted(map(str, back.collect())) == sorted(map(str, bars.collect()))
-    one = back.filter("ticker = '007'")
-    assert [r.close for r in one.collect()] == [3.0]
+    one = tables.read_by_ticker(spark, path, bars.schema, ticker="007", buckets=buckets)
+    assert [r.close for r in one.collect()] == [3.0] and one.schema == bars.schema
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert ("ticker_bucket" if buckets else "ticker") in plan.split("PartitionFilters:")[1]
 
 
 def test_ticker_folders_hold_one_file_and_prune(spark, make_bars, tmp_path):

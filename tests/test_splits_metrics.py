@@ -51,7 +51,7 @@ def test_split_of_no_rows(spark):
 
 
 def test_ml_rows_need_every_predictor_and_a_target(spark):
-    params = Params(predictors=("a", "b"))
+    params = Params(model_columns=("a", "b"))
     features = spark.createDataFrame(
         [("A", day(0), 1.0, 1.0, 0.1), ("A", day(1), None, 1.0, 0.1), ("A", day(2), 1.0, 1.0, None),
          ("A", day(3), 1.0, 1.0, 0.0), ("A", day(4), 1.0, 1.0, -0.1)],

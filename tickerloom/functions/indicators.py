@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tickerloom.functions.scalars import safe_ratio, weekday_number
 from tickerloom.functions.windows import ordered, trailing, whole_history
@@ -159,9 +160,14 @@ def forward_return(p: Params) -> Indicator:
     )
 
 
+def _long_frame(p: Params) -> WindowSpec:
+    return whole_history() if p.trailing_window is None else trailing(p.trailing_window)
+
+
 def sharpe(p: Params) -> Indicator:
-    """Annualised excess return per unit of annualised deviation, over the whole history."""
-    every = whole_history()
+    """Annualised excess return per unit of annualised deviation, over the whole history
+    unless ``trailing_window`` is set."""
+    every = _long_frame(p)
     gain = F.col("_history_mean") * F.lit(p.trading_days) - F.lit(p.risk_free)
     risk = F.col("_history_dev") * F.sqrt(F.lit(p.trading_days))
     return Indicator(
@@ -173,13 +179,13 @@ def sharpe(p: Params) -> Indicator:
     )
 
 
-def beta(_: Params) -> Indicator:
+def beta(p: Params) -> Indicator:
     """Covariance with the benchmark over the benchmark's variance. Needs ``bench_return``.
 
     The variance covers every bar that has a benchmark return, also those whose own return
     is null; the covariance needs both.
     """
-    every = whole_history()
+    every = _long_frame(p)
     return Indicator(
         {
             "_bench_cov": F.covar_samp("daily_return", "bench_return").over(every),

@@ -15,17 +15,20 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.operators.metrics import baseline_accuracy, pick_winner, scores
+from tickerloom.operators.metrics import (
+    baseline_accuracy,
+    classification_report,
+    pick_winner,
+    scores,
+)
 from tickerloom.operators.splits import (
     LABEL,
+    cut_parts,
     cv_folds,
-    testing_part,
-    training_part,
-    walk_forward,
     with_class_weights,
 )
 from tickerloom.params import FIT_THREADS, Params
-from tickerloom.sources.storage import materialize, shared_folder, spread
+from tickerloom.sources.storage import fit_layout, materialize, shared_folder
 
 # Contender names; the first wins a tie.
 FOREST = "Random Forest Classifier"
@@ -40,6 +43,7 @@ class Prediction:
     winner: str
     model: PipelineModel
     results: DataFrame
+    report: DataFrame
     importances: DataFrame
     accuracy: float
     f1_score: float
@@ -74,12 +78,14 @@ def classifier(name: str, params: Params) -> Estimator:
 def split_rows(rows: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     """(train, test) in time order; train carries class weights.
 
-    The split rows are written once: the counting passes of the cut, both contenders, the
-    folds and the metrics all read that table.
+    The rows are written once: the counting passes of the cut, both contenders, the folds and
+    the metrics all read that table, and the cut is a pair of literals, so its date reaches the
+    scan. The training part has a fixed layout, because fits sample per partition.
     """
-    split = materialize(walk_forward(materialize(rows, "ml-rows"), params), "split-rows")
-    split = spread(split)
-    return with_class_weights(training_part(split)), testing_part(split)
+    train, test = cut_parts(materialize(rows, "ml-rows"), params)
+    # Last: the optimizer drops a sort that stands below a join.
+    train = fit_layout(with_class_weights(train), params.fit_partitions, "ticker", "date")
+    return train, test
 
 
 def fit_contender(train: DataFrame, name: str, params: Params) -> PipelineModel:
@@ -96,10 +102,19 @@ def evaluate(model: PipelineModel, rows: DataFrame) -> DataFrame:
 def tournament(
     train: DataFrame, test: DataFrame, params: Params
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Fit every contender; returns (contender, priority, accuracy, f1_score) and the models."""
-    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    """Fit every contender; returns (contender, priority, accuracy, f1_score) and the models.
+
+    The contenders share one scaled, persisted training table.
+    """
+    shared_folder(train.sparkSession)
+    scaler = Pipeline(stages=scaler_stages(params)).fit(train)
+    scaled = scaler.transform(train).select(LABEL, "weight", "features")
+    kept = scaled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = {name: fit_contender(kept, name, params) for name in CONTENDERS}
+        models = {
+            name: PipelineModel([*scaler.stages, classifier(name, params).fit(kept)])
+            for name in CONTENDERS
+        }
     finally:
         kept.unpersist()
     rows = []
@@ -115,21 +130,26 @@ def tournament(
 def cross_validate(train: DataFrame, name: str, params: Params) -> tuple[float, float]:
     """(mean, population deviation) of the accuracy over contiguous per-class folds.
 
-    The folds share one scaled, persisted table and are fitted side by side.
+    The folds share one scaled, persisted table and are fitted side by side; class weights are
+    balanced anew on each fold's training rows. A fold without rows is an error.
     """
     shared_folder(train.sparkSession)
-    folded = cv_folds(train, params)
+    folded = fit_layout(cv_folds(train, params), params.fit_partitions, "ticker", "date")
     scaled = Pipeline(stages=scaler_stages(params)).fit(train).transform(folded)
-    kept = scaled.select(LABEL, "weight", "fold", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    kept = scaled.select(LABEL, "fold", "features").persist(StorageLevel.MEMORY_AND_DISK)
 
-    def accuracy(fold: int) -> float | None:
-        model = classifier(name, params).fit(kept.filter(F.col("fold") != fold))
-        return scores(model.transform(kept.filter(F.col("fold") == fold))).first().accuracy
+    def accuracy(fold: int) -> float:
+        rest = with_class_weights(kept.filter(F.col("fold") != fold))
+        model = classifier(name, params).fit(rest)
+        found = scores(model.transform(kept.filter(F.col("fold") == fold))).first().accuracy
+        if found is None:
+            raise ValueError(f"fold {fold} of {params.folds} has no rows")
+        return found
 
     try:
         with ThreadPool(min(FIT_THREADS, params.folds)) as pool:
             work = inheritable_thread_target(train.sparkSession)(accuracy)
-            found = [a for a in pool.map(work, range(params.folds)) if a is not None]
+            found = pool.map(work, range(params.folds))
     finally:
         kept.unpersist()
     return statistics.fmean(found), statistics.pstdev(found)
@@ -170,10 +190,12 @@ def train_predictor(rows: DataFrame, params: Params) -> Prediction:
     best = pick_winner(results).first()
     cv_mean, cv_std = cross_validate(train, best.contender, params)
     baseline = baseline_accuracy(test).first()
+    report = classification_report(models[best.contender].transform(test))
     return Prediction(
         winner=best.contender,
         model=models[best.contender],
         results=results,
+        report=report,
         importances=feature_importances(models[best.contender], train, params),
         accuracy=best.accuracy,
         f1_score=best.f1_score,

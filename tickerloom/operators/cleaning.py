@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.functions.scalars import as_price, as_volume, clamp
+from tickerloom.functions.scalars import as_day, as_price, as_volume, clamp
 from tickerloom.functions.windows import ordered
 from tickerloom.params import PRICE_COLUMNS, Params
 
@@ -18,6 +18,11 @@ def cast_numerics(raw: DataFrame) -> DataFrame:
     return raw.withColumns({**prices, "volume": as_volume(F.col("volume"))})
 
 
+def cast_days(raw: DataFrame, params: Params) -> DataFrame:
+    """``date`` as a DATE: every per-ticker window rests on one bar per calendar day."""
+    return raw.withColumn("date", as_day(F.col("date"), params.date_formats))
+
+
 def drop_nulls(raw: DataFrame) -> DataFrame:
     return raw.dropna(subset=[*KEY, "close"])
 
@@ -76,7 +81,8 @@ def winsorize_returns(bars: DataFrame, params: Params) -> DataFrame:
 def clean_bars(raw: DataFrame, params: Params) -> DataFrame:
     """Cast, drop nulls, dedupe, add the daily return, drop outliers."""
     return (
-        raw.transform(cast_numerics)
+        raw.transform(cast_days, params)
+        .transform(cast_numerics)
         .transform(drop_nulls)
         .transform(dedupe_bars)
         .transform(add_daily_return)

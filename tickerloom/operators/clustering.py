@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tickerloom.operators.profile import attach_labels, check_cluster_count, rank_clusters
 from tickerloom.operators.silhouette import silhouette_exact, silhouette_squared
 from tickerloom.params import CLUSTER_FEATURES, FIT_THREADS, Params
+from tickerloom.sources.storage import fit_layout
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,7 @@ class Clustering:
     model: PipelineModel
     silhouette: float
     silhouette_metric: str
+    sweep: DataFrame | None = None
 
 
 def fit_scaler(profile: DataFrame) -> PipelineModel:
@@ -51,20 +53,29 @@ def best_kmeans(scaled: DataFrame, k: int, restarts: int, params: Params) -> KMe
 
 
 def silhouette(clustered: DataFrame, params: Params) -> tuple[float, str]:
-    """(score, metric): Euclidean up to the configured size, squared Euclidean beyond."""
+    """(score, metric) under the metric the caller names: "euclidean", quadratic in the number
+    of profiles, or "squared_euclidean", linear and a different number."""
     points = clustered.select(
-        F.xxhash64("ticker").alias("id"),
+        F.col("ticker").alias("id"),
         F.col("cluster_id").alias("cluster"),
         vector_to_array("_scaled").alias("vector"),
     )
-    if points.count() <= params.exact_silhouette_limit:
-        return silhouette_exact(points).first().silhouette, "euclidean"
-    return silhouette_squared(points), "squared_euclidean"
+    if params.silhouette_metric == "euclidean":
+        return silhouette_exact(points).first().silhouette, params.silhouette_metric
+    if params.silhouette_metric == "squared_euclidean":
+        return silhouette_squared(points), params.silhouette_metric
+    raise ValueError(f"unknown silhouette metric {params.silhouette_metric!r}")
+
+
+def _scaled(profile: DataFrame, scaler: PipelineModel, params: Params) -> DataFrame:
+    """The scaled profiles in a fixed layout: k-means draws its start per partition."""
+    return scaler.transform(fit_layout(profile, params.fit_partitions, "ticker"))
 
 
 def sweep_clusters(profile: DataFrame, params: Params) -> DataFrame:
     """k, silhouette (4 places), metric and is_best per swept k below the profile size."""
-    scaled = fit_scaler(profile).transform(profile).persist(StorageLevel.MEMORY_AND_DISK)
+    laid_out = fit_layout(profile, params.fit_partitions, "ticker")
+    scaled = _scaled(profile, fit_scaler(laid_out), params).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         size = scaled.count()
         found = []
@@ -84,8 +95,8 @@ def sweep_clusters(profile: DataFrame, params: Params) -> DataFrame:
 def cluster_profiles(profile: DataFrame, params: Params) -> Clustering:
     """Scale, fit, label by risk and score."""
     check_cluster_count(params.clusters)
-    scaler = fit_scaler(profile)
-    scaled = scaler.transform(profile).persist(StorageLevel.MEMORY_AND_DISK)
+    scaler = fit_scaler(fit_layout(profile, params.fit_partitions, "ticker"))
+    scaled = _scaled(profile, scaler, params).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         kmeans = best_kmeans(scaled, params.clusters, params.cluster_restarts, params)
         score, metric = silhouette(kmeans.transform(scaled), params)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickerloom.operators.cleaning import KEY, cast_numerics
+from tickerloom.operators.cleaning import KEY, cast_days, cast_numerics
 from tickerloom.params import Params
 
 
@@ -18,7 +18,7 @@ def drop_report(raw: DataFrame, params: Params) -> DataFrame:
     valid = F.col("ticker").isNotNull() & F.col("date").isNotNull() & F.col("close").isNotNull()
     rest = [c for c in raw.columns if c not in KEY]
     keyed = (
-        cast_numerics(raw)
+        cast_numerics(cast_days(raw, params))
         .groupBy(*KEY)
         .agg(
             F.count("*").alias("rows_in"),
@@ -52,23 +52,45 @@ def drop_report(raw: DataFrame, params: Params) -> DataFrame:
 
 
 def audit(bars: DataFrame) -> DataFrame:
-    """One row: size, key uniqueness, nulls, return statistics, impossible and idle bars."""
+    """One row: size, key uniqueness, nulls, return statistics, impossible and idle bars.
+
+    Bars fold to one row per key in the map tasks, keys to one per ticker, tickers to the row:
+    no distinct count, so nothing is expanded. Returns are few hundredths, so their sum of
+    squares gives the deviation to about 1e-12.
+    """
     r = F.col("daily_return")
     high, low, close = F.col("high"), F.col("low"), F.col("close")
     null_cells = sum((F.col(c).isNull().cast("bigint") for c in bars.columns), F.lit(0))
-    return bars.agg(
-        F.count("*").alias("row_count"),
-        F.count_distinct("ticker").alias("tickers"),
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
-        F.sum(null_cells).alias("null_cells"),
-        (F.count("*") - F.count_distinct(F.struct(*KEY))).alias("duplicate_keys"),
-        F.avg(r).alias("return_mean"),
-        F.stddev_samp(r).alias("return_std"),
-        F.min(r).alias("return_min"),
-        F.max(r).alias("return_max"),
-        F.count_if((high < low) | (close > high) | (close < low)).alias("bad_ohlc_rows"),
-        F.count_if(F.col("volume") == 0).alias("zero_volume_rows"),
+    sums = {
+        "row_count": F.count("*"), "null_cells": F.sum(null_cells),
+        "returns": F.count(r), "total": F.sum(r), "squares": F.sum(r * r),
+        "bad_ohlc_rows": F.count_if((high < low) | (close > high) | (close < low)),
+        "zero_volume_rows": F.count_if(F.col("volume") == 0),
+    }
+    keys = bars.groupBy(*KEY).agg(
+        *[c.alias(n) for n, c in sums.items()],
+        F.min(r).alias("return_min"), F.max(r).alias("return_max"),
+    ).withColumn("keys", F.lit(1))
+
+    def folded(names: list[str]) -> list[Column]:
+        return [F.sum(n).alias(n) for n in names]
+
+    names = [*sums, "keys"]
+    ends = [F.min("return_min").alias("return_min"), F.max("return_max").alias("return_max")]
+    tickers = keys.groupBy("ticker").agg(
+        *folded(names), *ends, F.min("date").alias("first_date"), F.max("date").alias("last_date"),
+    )
+    n, total = F.col("returns"), F.col("total")
+    spread = F.greatest(F.col("squares") - total * total / n, F.lit(0.0))
+    return tickers.agg(
+        *folded(names), *ends, F.count("ticker").alias("tickers"),
+        F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"),
+    ).select(
+        "row_count", "tickers", "first_date", "last_date", "null_cells",
+        (F.col("row_count") - F.col("keys")).alias("duplicate_keys"),
+        F.try_divide(total, n).alias("return_mean"),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias("return_std"),
+        "return_min", "return_max", "bad_ohlc_rows", "zero_volume_rows",
     )
 
 

@@ -11,44 +11,49 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows per block: a block pair's distance matrix is this many squared doubles.
-BLOCK_ROWS = 1024
+# Rows per block: a task holds two blocks of vectors. Every point is sent once per block, so
+# larger blocks move less; distances are taken in tiles.
+BLOCK_ROWS = 8192
+TILE_ROWS = 512
 
 
 def silhouette_samples(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact Euclidean silhouette per point of (id bigint, cluster int, vector array).
+    """Exact Euclidean silhouette per point of (id of any type, cluster int, vector array).
 
     The work is quadratic by definition, the data movement is not: points are hashed into
     blocks and a task gets two blocks and returns one row per point and cluster. No pair of
     points is ever a row, and a task's memory is bounded by the block size. The function is a
     local one so that it travels to the executors by value.
     """
+    tile_rows = TILE_ROWS
+
     def distance_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Per left point and right cluster: the sum of distances to the cluster's points."""
         if left.empty or right.empty:
             return pd.DataFrame({"id": [], "own": [], "cluster": [], "total": []})
         a = np.stack(left["vector"].to_numpy()).astype("float64")
         b = np.stack(right["vector"].to_numpy()).astype("float64")
-        squared = np.zeros((len(a), len(b)))
-        for axis in range(a.shape[1]):
-            squared += (a[:, axis, None] - b[None, :, axis]) ** 2
-        distance = np.sqrt(squared)
-        clusters = right["cluster"].to_numpy()
-        parts = [
-            pd.DataFrame({
-                "id": left["id"].to_numpy(),
-                "own": left["cluster"].to_numpy(),
-                "cluster": c,
-                "total": distance[:, clusters == c].sum(axis=1),
-            })
-            for c in np.unique(clusters)
-        ]
-        return pd.concat(parts, ignore_index=True)
+        order = np.argsort(right["cluster"].to_numpy(), kind="stable")
+        names, starts = np.unique(right["cluster"].to_numpy()[order], return_index=True)
+        b = b[order]
+        totals = np.zeros((len(a), len(names)))
+        for low in range(0, len(a), tile_rows):
+            tile = a[low : low + tile_rows]
+            squared = np.zeros((len(tile), len(b)))
+            for axis in range(a.shape[1]):
+                squared += (tile[:, axis, None] - b[None, :, axis]) ** 2
+            totals[low : low + tile_rows] = np.add.reduceat(np.sqrt(squared), starts, axis=1)
+        return pd.DataFrame({
+            "id": np.repeat(left["id"].to_numpy(), len(names)),
+            "own": np.repeat(left["cluster"].to_numpy(), len(names)),
+            "cluster": np.tile(names, len(a)),
+            "total": totals.ravel(),
+        })
 
     typed = points.select(
-        F.col("id").cast("bigint"), F.col("cluster").cast("int"),
-        F.col("vector").cast("array<double>"),
+        "id", F.col("cluster").cast("int"), F.col("vector").cast("array<double>"),
     )
+    kind = typed.schema["id"].dataType.simpleString()
     blocks = max(1, math.ceil(typed.count() / block_rows))
     home = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -58,15 +63,14 @@ def silhouette_samples(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataF
     totals = (
         left.groupBy(*pair)
         .cogroup(right.groupBy(*pair))
-        .applyInPandas(distance_sums, "id bigint, own int, cluster int, total double")
+        .applyInPandas(distance_sums, f"id {kind}, own int, cluster int, total double")
         .groupBy("id", "own", "cluster")
         .agg(F.sum("total").alias("total"))
     )
-    # One row per cluster: bounded by the number of clusters.
     sizes = typed.groupBy("cluster").agg(F.count("*").alias("size"))
     same = F.col("own") == F.col("cluster")
     per_point = (
-        totals.join(F.broadcast(sizes), "cluster")
+        totals.join(sizes, "cluster")
         .groupBy("id", "own")
         .agg(
             F.max(F.when(same, F.try_divide(F.col("total"), F.col("size") - 1))).alias("within"),

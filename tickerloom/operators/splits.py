@@ -112,6 +112,29 @@ def walk_forward(rows: DataFrame, params: Params) -> DataFrame:
     ).drop("_cuts")
 
 
+def cut_parts(rows: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of a written table, cut as by ``walk_forward``.
+
+    The cut is fetched as one (date, digest) and compared as literals, so a bound on the date
+    reaches the scan of either part. ``gap_days`` leaves out training rows that close to it.
+    """
+
+    def ranks(n: Column) -> Column:
+        return F.array(F.floor(n * F.lit(1.0 - params.test_share)))
+
+    everyone = rows.select(F.lit(0).alias("_all"), "date", "ticker")
+    found = _cut_keys(everyone, ranks, "_all").select("cuts").first()
+    if not found or not found.cuts:
+        return rows, rows.limit(0)
+    cut = found.cuts[0]
+    day, date = F.lit(cut.date), F.col("date")
+    past = (date == day) & (_digest() >= F.lit(cut.digest))
+    train = rows.filter((date <= day) & ~past)
+    if params.gap_days:
+        train = train.filter(date < F.date_sub(day, params.gap_days))
+    return train, rows.filter((date >= day) & ((date > day) | past))
+
+
 def training_part(split: DataFrame) -> DataFrame:
     return split.filter(F.col("is_test") == 0).drop("is_test")
 

@@ -25,16 +25,6 @@ RISK_LABELS = (
     ("Aggressive", "#EF4444"),
 )
 
-# Predictor names in model order.
-PREDICTORS = (
-    "daily_return", "ma7", "ma30", "ma_cross_signal", "ma_spread",
-    "rsi", "rsi_binned", "bb_pct_b", "momentum_14d",
-    "volatility", "sharpe_ratio", "beta", "drawdown_30d",
-    "day_of_week",
-    "volume_ma20", "volume_ratio",
-    "return_lag_1", "return_lag_5", "return_lag_10",
-)
-
 CLUSTER_FEATURES = ("annualised_return", "volatility", "sharpe_ratio", "beta")
 
 # Model fits submitted at the same time: each is a chain of jobs too short to fill a cluster.
@@ -76,7 +66,7 @@ class Params:
     cluster_iterations: int = 500
     sweep: tuple[int, ...] = (2, 3, 4, 5, 6, 7)
     sweep_restarts: int = 10
-    exact_silhouette_limit: int = 200_000
+    silhouette_metric: str = "euclidean"
 
     test_share: float = 0.2
     folds: int = 5
@@ -88,8 +78,18 @@ class Params:
     boost_depth: int = 3
     boost_sample: float = 0.8
     seed: int = 42
-
-    predictors: tuple[str, ...] = PREDICTORS
+    # Partitions of every model fit. Samples are drawn per partition, so the number is part of
+    # the model; it follows neither the cores nor the size of the table.
+    fit_partitions: int = 64
+
+    # Date patterns to try on text that is not ISO, in order.
+    date_formats: tuple[str, ...] = ()
+    # Rows left out between the training and the test part, in calendar days before the cut.
+    gap_days: int = 0
+    # Bars in the frames of the risk ratio and the market sensitivity; None is all history.
+    trailing_window: int | None = None
+    # Predictors other than the standard ones.
+    model_columns: tuple[str, ...] | None = None
 
     @property
     def short_ma(self) -> str:
@@ -111,6 +111,18 @@ class Params:
     def drawdown(self) -> str:
         return f"drawdown_{self.drawdown_window}d"
 
+    @property
+    def predictors(self) -> tuple[str, ...]:
+        """Predictor names in model order; the order and the plain names are fixed values."""
+        return self.model_columns or (
+            "daily_return", self.short_ma, self.long_ma, "ma_cross_signal", "ma_spread",
+            "rsi", "rsi_binned", "bb_pct_b", self.momentum,
+            "volatility", "sharpe_ratio", "beta", self.drawdown,
+            "day_of_week",
+            self.volume_ma, "volume_ratio",
+            *self.lag_columns,
+        )
+
     @property
     def lag_columns(self) -> tuple[str, ...]:
         return tuple(f"return_lag_{k}" for k in self.lags)

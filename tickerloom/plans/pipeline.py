@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +17,18 @@ from tickerloom.operators.classify import (
     train_predictor,
 )
 from tickerloom.operators.cleaning import clean_bars
-from tickerloom.operators.clustering import Clustering, cluster_profiles, predict_clusters
+from tickerloom.operators.clustering import (
+    Clustering,
+    cluster_profiles,
+    predict_clusters,
+    sweep_clusters,
+)
 from tickerloom.operators.indicators import add_features
 from tickerloom.operators.profile import label_table, ticker_profile
+from tickerloom.operators.quality import drop_report
 from tickerloom.operators.splits import ml_rows
 from tickerloom.params import Params
-from tickerloom.sources.storage import materialize
+from tickerloom.sources.storage import materialize, run_folder
 from tickerloom.sources.tables import (
     read_by_ticker,
     read_csv,
@@ -49,6 +55,15 @@ CLUSTER_SCHEMA = (
     "cluster_label string, cluster_color string"
 )
 IMPORTANCE_SCHEMA = "feature string, importance double"
+REPORT_SCHEMA = (
+    "scope string, precision double, recall double, f1_score double, support bigint, "
+    "accuracy double"
+)
+SWEEP_SCHEMA = "k int, silhouette double, metric string, is_best boolean"
+REMOVED_SCHEMA = (
+    "rows_in bigint, null_rows bigint, duplicate_rows bigint, outlier_rows bigint, "
+    "rows_out bigint"
+)
 
 
 @dataclass(frozen=True)
@@ -85,6 +100,18 @@ class Folder:
     def importances(self) -> str:
         return f"{self.root}/models/importances"
 
+    @property
+    def removed(self) -> str:
+        return f"{self.root}/processed/removed_rows"
+
+    @property
+    def sweep(self) -> str:
+        return f"{self.root}/models/silhouette_by_k"
+
+    @property
+    def report(self) -> str:
+        return f"{self.root}/models/classification_report"
+
     @property
     def return_model(self) -> str:
         return f"{self.root}/models/return_model"
@@ -106,6 +133,21 @@ def read_importances(spark: SparkSession, folder: Folder, ascending: bool = Fals
     return order_importances(read_csv(spark, folder.importances, IMPORTANCE_SCHEMA), ascending)
 
 
+def read_report(spark: SparkSession, folder: Folder) -> DataFrame:
+    """The winner's classification report."""
+    return read_csv(spark, folder.report, REPORT_SCHEMA)
+
+
+def read_sweep(spark: SparkSession, folder: Folder) -> DataFrame:
+    """The silhouette of every swept number of clusters."""
+    return read_csv(spark, folder.sweep, SWEEP_SCHEMA)
+
+
+def read_removed(spark: SparkSession, folder: Folder) -> DataFrame:
+    """How many raw rows each cleaning rule removed."""
+    return read_csv(spark, folder.removed, REMOVED_SCHEMA)
+
+
 def read_summary(spark: SparkSession, folder: Folder) -> DataFrame:
     return read_json(spark, folder.summary, SUMMARY_SCHEMA)
 
@@ -126,8 +168,9 @@ def predict_direction(rows: DataFrame, folder: Folder, params: Params) -> DataFr
 def transform_stage(
     raw: DataFrame, folder: Folder, params: Params, buckets: int | None = None
 ) -> DataFrame:
-    """Clean bars, written; the returned DataFrame reads the written table."""
+    """Clean bars and the rows removed by rule, written; the result reads the written bars."""
     clean = clean_bars(raw, params)
+    write_csv(drop_report(raw, params), folder.removed)
     write_by_ticker(clean, folder.clean, buckets, clustered=True)
     return read_by_ticker(raw.sparkSession, folder.clean, clean.schema)
 
@@ -147,9 +190,11 @@ def feature_stage(
 
 
 def clustering_stage(features: DataFrame, params: Params) -> Clustering:
-    """Profiles, materialised once for the many short fits, then clustered."""
+    """Profiles, materialised once for the many short fits, clustered at the configured k and,
+    beside it, scored for every swept k."""
     profile = materialize(ticker_profile(features, params), "profile")
-    return cluster_profiles(profile, params)
+    found = cluster_profiles(profile, params)
+    return replace(found, sweep=sweep_clusters(profile, params))
 
 
 def prediction_stage(features: DataFrame, params: Params) -> Prediction:
@@ -204,17 +249,21 @@ def run_pipeline(
     raw: DataFrame, root: str, params: Params,
     buckets: int | None = None, export_csv: bool = True,
 ) -> DataFrame:
-    """Every stage from raw bars, all artefacts written below ``root``; returns the summary."""
+    """Every stage from raw bars, all artefacts written below ``root``; returns the summary as
+    written. Intermediate tables are removed at the end."""
     started = time.monotonic()
-    folder = Folder(root.rstrip("/"))
-    clean = transform_stage(raw, folder, params, buckets)
-    features = feature_stage(clean, folder, params, buckets, export_csv)
-    clustering = clustering_stage(features, params)
-    write_csv(clustering.profile, folder.clusters)
-    save_model(clustering.model, folder.cluster_model)
-    prediction = prediction_stage(features, params)
-    write_csv(prediction.importances, folder.importances)
-    save_model(prediction.model, folder.return_model)
-    summary = run_summary(clustering, prediction, time.monotonic() - started, params)
-    write_json(summary, folder.summary)
-    return summary
+    folder, spark = Folder(root.rstrip("/")), raw.sparkSession
+    with run_folder(spark):
+        clean = transform_stage(raw, folder, params, buckets)
+        features = feature_stage(clean, folder, params, buckets, export_csv)
+        clustering = clustering_stage(features, params)
+        write_csv(clustering.profile, folder.clusters)
+        write_csv(clustering.sweep, folder.sweep)
+        save_model(clustering.model, folder.cluster_model)
+        prediction = prediction_stage(features, params)
+        write_csv(prediction.importances, folder.importances)
+        write_csv(prediction.report, folder.report)
+        save_model(prediction.model, folder.return_model)
+        seconds = time.monotonic() - started
+        write_json(run_summary(clustering, prediction, seconds, params), folder.summary)
+    return read_summary(spark, folder)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.functions.scalars import as_day, as_price, as_ticker, as_volume
@@ -14,12 +15,23 @@ from tickerloom.params import BAR_COLUMNS, PRICE_COLUMNS, Params
 from tickerloom.sources.storage import read_if_present
 
 
+# Column of the cache: the text of a date that fits no format.
+UNREAD = "unread_date"
+
+
 def normalize_columns(raw: DataFrame) -> DataFrame:
-    """Lower-case trimmed headers with underscores; ``name`` stands in for ``ticker``."""
-    names = [c.lower().strip().replace(" ", "_") for c in raw.columns]
-    if "ticker" not in names:
-        names = ["ticker" if n == "name" else n for n in names]
-    return raw.toDF(*names)
+    """Lower-case trimmed headers with underscores; ``name`` stands in for ``ticker``.
+
+    Two headers that become one name are an error.
+    """
+    headers: dict[str, str] = {}
+    for header in raw.columns:
+        name = "_".join(header.strip().lower().split(" "))
+        if name in headers:
+            raise ValueError(f"headers {headers[name]!r} and {header!r} both mean {name!r}")
+        headers[name] = header
+    renamed = {"name": "ticker"} if "ticker" not in headers else {}
+    return raw.toDF(*(renamed.get(name, name) for name in headers))
 
 
 def union_sources(sources: list[DataFrame]) -> DataFrame:
@@ -87,6 +99,10 @@ def coerce_raw(
 
     Keeps the bar columns that are present and drops rows without a date or close.
     """
+    return _typed(raw, missing_volume, date_formats).dropna(subset=["close", "date"])
+
+
+def _typed(raw: DataFrame, missing_volume: int | None, date_formats: tuple[str, ...]) -> DataFrame:
     casts = {
         "date": as_day(F.col("date"), date_formats),
         "ticker": as_ticker(F.col("ticker")),
@@ -95,12 +111,18 @@ def coerce_raw(
     if "volume" in raw.columns:
         casts["volume"] = as_volume(F.col("volume"), missing_volume)
     kept = [casts[c].alias(c) for c in BAR_COLUMNS if c in raw.columns]
-    return raw.select(*kept).dropna(subset=["close", "date"])
+    return raw.select(*kept, *[c for c in (UNREAD,) if c in raw.columns])
+
+
+def unparsed_date(params: Params) -> Column:
+    """Whether a row has a date that is not blank and fits no known format."""
+    blank = F.coalesce(F.trim(F.col("date").cast("string")) == "", F.lit(True))
+    return ~blank & as_day(F.col("date"), params.date_formats).isNull()
 
 
 def load_bars(raw: DataFrame, params: Params, missing_volume: int | None = None) -> DataFrame:
     """Typed bars of the universe inside the date range."""
-    typed = coerce_raw(raw, missing_volume)
+    typed = coerce_raw(raw, missing_volume, params.date_formats)
     return typed.transform(in_universe, params.universe).transform(in_date_range, params)
 
 
@@ -109,12 +131,30 @@ def write_raw(bars: DataFrame, path: str) -> None:
 
 
 def ingest(
-    spark: SparkSession, folder: str, cache: str, params: Params, same_header: bool = False
+    spark: SparkSession, folder: str, cache: str, params: Params, same_header: bool = False,
+    refresh: bool = False,
 ) -> DataFrame:
-    """Raw bars from the parquet cache if there is one, else from the CSV folder via the cache."""
-    cached = read_if_present(spark, cache)
+    """Raw bars from the parquet cache if there is one, else from the CSV folder via the cache.
+
+    The cache holds every typed bar of the folder; universe and date range are applied on
+    reading, so one cache serves any request. ``refresh`` reads the folder again. The text of a
+    date that fits no format is kept and tried again on reading; such rows are warned of, and if
+    no row has a readable date, that is an error.
+    """
+    cached = None if refresh else read_if_present(spark, cache)
     if cached is None:
         text = read_csv_folder(spark, folder, same_header)
-        write_raw(load_bars(text, params), cache)
+        unread = F.when(unparsed_date(params), F.col("date").cast("string"))
+        write_raw(_typed(text.withColumn(UNREAD, unread), None, params.date_formats), cache)
         cached = spark.read.parquet(cache)
-    return load_bars(cached, params)
+    again = F.coalesce("date", as_day(F.col(UNREAD), params.date_formats))
+    tried = cached.withColumn("date", again)
+    lost = tried.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("date").isNull() & F.col(UNREAD).isNotNull()).alias("unread"),
+    ).first()
+    if lost.unread and lost.unread == lost.rows:
+        raise ValueError(f"none of the {lost.rows} dates in {folder} fits the date formats")
+    if lost.unread:
+        warnings.warn(f"{lost.unread} of {lost.rows} rows have unreadable dates", stacklevel=2)
+    return load_bars(tried.drop(UNREAD), params)

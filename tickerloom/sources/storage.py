@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate data: the session's checkpoint folder.
 
-    Only a local master with the setting unset gets a temporary folder of its own; on a
-    cluster a machine-local folder would be lost with its machine, so that is an error.
+    A local master with the setting unset uses the session's warehouse folder; on a cluster
+    the folder must be named, since a machine-local one would be lost with its machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tickerloom-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -30,7 +34,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder; nothing is ever overwritten there."""
-    return f"{shared_folder(spark)}/tickerloom/{label}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or _root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tickerloom"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables of the block go to a folder of their own, removed at its end.
+
+    What the block returns must not read them any more.
+    """
+    path = f"{_root(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -44,14 +68,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """A table scan with at least one partition per core, for iterative fits.
+def fit_layout(table: DataFrame, partitions: int, *key: str) -> DataFrame:
+    """A table dealt and ordered by its unique key, for fits that sample per partition.
 
-    Spark packs a small table into one or two scan tasks, and every pass of a fit would run on
-    that many cores. Tables large enough to fill the cores are returned as they are.
+    The layout, and so the model, does not depend on cores, files or the order of the rows.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
+    return table.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:

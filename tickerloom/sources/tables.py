@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 BUCKET = "ticker_bucket"
 
@@ -35,15 +35,25 @@ def write_by_ticker(
 
 
 def read_by_ticker(
-    spark: SparkSession, path: str, schema: StructType, skip_corrupt: bool = False
+    spark: SparkSession, path: str, schema: StructType, skip_corrupt: bool = False,
+    ticker: str | None = None, buckets: int | None = None,
 ) -> DataFrame:
-    """A table of ``write_by_ticker``.
+    """A table of ``write_by_ticker``, or one ticker of it.
 
     The explicit schema keeps tickers such as "600000" text; inferring the folder names would
-    turn them into numbers.
+    turn them into numbers. With ``buckets`` as written, one ticker opens one bucket only.
     """
-    reader = spark.read.schema(schema).option("ignoreCorruptFiles", skip_corrupt)
-    return reader.parquet(path).select(*schema.names)
+    reader = spark.read.option("ignoreCorruptFiles", skip_corrupt)
+    if ticker is not None and buckets is not None:
+        bucketed = reader.schema(StructType([*schema.fields, StructField(BUCKET, IntegerType())]))
+        table = bucketed.parquet(path).filter(
+            F.col(BUCKET) == bucket_of(F.lit(ticker), buckets)
+        )
+    else:
+        table = reader.schema(schema).parquet(path)
+    if ticker is not None:
+        table = table.filter(F.col("ticker") == ticker)
+    return table.select(*schema.names)
 
 
 def write_csv(table: DataFrame, path: str) -> None:
