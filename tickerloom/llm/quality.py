@@ -7,8 +7,9 @@ language and source: the mean and covariance of the ``support`` share of rows cl
 found by concentration steps from coordinate-wise medians. A row farther than the chi-square
 quantile of ``tail`` is rejected.
 
-The covariance is shrunk towards ``PRIOR_SCALE`` as if ``PRIOR_ROWS`` more rows had it. So rates
-that are zero in most rows, and groups of few rows, need no case of their own. Each step is one
+The squares of ``FLOOR_SCALE``, differences that do not matter in any group, are added to the
+variances. So rates that are zero in most rows, and groups of few rows, need no case of their
+own, and a group does not turn strict by being large. Each step is one
 scan of the small statistics table and one aggregate that adds up in the map tasks.
 
 Defined cases: a null text is empty (no words, fails the base rules); null languages and sources
@@ -34,10 +35,9 @@ MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 REPEAT_WINDOW = 5
 SUPPORT = 0.75
-TAIL = 1e-9
+TAIL = 5e-6
 STEPS = 12
-PRIOR_ROWS = 50.0
-PRIOR_SCALE = (0.10, 0.05, 0.15, 0.15)
+FLOOR_SCALE = (0.10, 0.05, 0.15, 0.15)
 
 FEATURES = ("x1", "x2", "x3", "x4")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -191,7 +191,7 @@ def _estimates(moments: DataFrame, keys: tuple[str, ...], support: float) -> Dat
     cut = chi2_quantile(1 - support, d) if support < 1 else math.inf
     # Makes the covariance of the closest share of normal rows that of all of them.
     consistent = support / (1 - chi2_tail(cut, d + 2)) if support < 1 else 1.0
-    prior = np.diag(np.square(PRIOR_SCALE))
+    floor = np.diag(np.square(FLOOR_SCALE))
     schema = "center array<double>, inverse array<double>, logdet double"
 
     def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -206,7 +206,7 @@ def _estimates(moments: DataFrame, keys: tuple[str, ...], support: float) -> Dat
                         spread[i, j] = spread[j, i] = (
                             getattr(row, f"s{i}{j}") / n - center[i] * center[j]
                         )
-                whole = (n * consistent * spread + PRIOR_ROWS * prior) / (n + PRIOR_ROWS)
+                whole = consistent * spread + floor
                 inverse = np.linalg.inv(whole)
                 names = [getattr(row, k) for k in keys]
                 rows.append([*names, center.tolist(), inverse.ravel().tolist(),
@@ -228,11 +228,11 @@ def _sums() -> list[Column]:
 
 
 def _start(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Coordinate-wise medians with the prior scales."""
+    """Coordinate-wise medians with the floor's scales."""
     median = F.percentile_approx
-    prior = (1 / np.square(PRIOR_SCALE)).tolist()
+    scales = (1 / np.square(FLOOR_SCALE)).tolist()
     d = len(FEATURES)
-    flat = [F.lit(prior[i] if i == j else 0.0) for i in range(d) for j in range(d)]
+    flat = [F.lit(scales[i] if i == j else 0.0) for i in range(d) for j in range(d)]
     centers = [median(x, 0.5, F.lit(1000)) for x in FEATURES]
     return rows.groupBy(*keys).agg(
         F.array(*centers).alias("center"), F.array(*flat).alias("inverse"),
@@ -268,7 +268,7 @@ def fit_groups(
         )
         falls = before.agg(F.max(F.col("logdet") - F.col("now")).alias("by")).first()["by"]
         fit = new
-        if falls is None or falls < 1e-3:
+        if falls is None or falls < 1e-6:
             break
     return fit
 
