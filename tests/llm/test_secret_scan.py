@@ -75,6 +75,17 @@ def test_layers_are_unwrapped_and_mapped_back(name, inner):
     assert all(low <= a < b <= high and layer > 0 for _, a, b, layer in access)
 
 
+@pytest.mark.parametrize("inner", ["percent", "unicode", "entities"])
+def test_equal_nested_runs_are_found_at_each_place(inner):
+    run = b64(LAYERS[inner](KEY))
+    text = f"one {run} two {run} three {b64(LAYERS['percent'](KEY))} end"
+    found, cut = secret_scan.secrets_in(text)
+    runs = [m.span() for m in re.finditer(r"[A-Za-z0-9+/]{20,}", text)]
+    assert [s[1:3] for s in found if s[0] == "access"] == runs and not cut
+    clean = secret_scan.redacted(text)
+    assert clean.count("[access]") == 3 and not re.search(r"[A-Za-z0-9+/]{20,}", clean)
+
+
 def test_a_span_that_is_partly_decoded():
     text = "x password = abc%64%65fghijklmnop y"
     assert ("assign", 2, 33) in [s[:3] for s in secret_scan.secrets_in(text)[0]]

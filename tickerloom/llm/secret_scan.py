@@ -192,16 +192,21 @@ class _Work:
         self.text, self.left, self.cut = text, most, False
         self.seen: set[tuple[int, int, str | bytes]] = set()
         self.found: dict[Span, int] = {}
-        self.todo: list[tuple[str, ToParent, Callable[[int, int], bool] | None, int]] = []
+        self.todo: list[
+            tuple[str, tuple[int, int], ToParent, Callable[[int, int], bool] | None, int]
+        ] = []
 
     def run(self) -> list[tuple[str, int, int, int]]:
-        self._layer(self.text, lambda a, b: (a, b), None, 0)
+        self._layer(self.text, (0, len(self.text)), lambda a, b: (a, b), None, 0)
         while self.todo:
             self._layer(*self.todo.pop())
         order = sorted(self.found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
         return [(*span, self.found[span]) for span in order]
 
-    def _layer(self, text: str, to_root: ToParent, touched, depth: int) -> None:
+    def _layer(
+        self, text: str, place: tuple[int, int], to_root: ToParent, touched, depth: int
+    ) -> None:
+        """``place`` is what the layer came out of, on the original text."""
         runs = [m.span() for m in _RUN.finditer(text)]
         for kind, a, b in scan(text, runs):
             if touched is None or touched(a, b):
@@ -215,7 +220,7 @@ class _Work:
                 inner = "".join(layer.parts)
                 back = layer.to_parent
                 self._add(
-                    inner, (0, len(self.text)),
+                    inner, place,
                     lambda a, b, back=back: to_root(*back(a, b)), layer.touched, depth + 1,
                 )
         for a, b in runs:
@@ -247,7 +252,7 @@ class _Work:
     def _add(self, text: str, place: tuple[int, int], to_root, touched, depth: int) -> None:
         if (*place, text) not in self.seen and self._spend(len(text)):
             self.seen.add((*place, text))
-            self.todo.append((text, to_root, touched, depth))
+            self.todo.append((text, place, to_root, touched, depth))
 
 
 def secrets_in(text: str, most: int = MAX_DECODED) -> tuple[list[tuple[str, int, int, int]], bool]:
