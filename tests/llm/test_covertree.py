@@ -82,6 +82,19 @@ def test_awkward_vectors(spark):
     assert covertree.link_counts(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("sizes", [{}, {"cell_points": 20, "pivots": 2}])
+def test_every_length_is_compared(spark, sizes):
+    """More lengths than pivots, each with near pairs."""
+    draw = np.random.default_rng(6)
+    rows = []
+    for length in range(2, 9):
+        centers = draw.normal(size=(4, length))
+        points = centers[draw.integers(0, 4, 30)] + draw.normal(size=(30, length)) * 0.1
+        rows += [(100 * length + i, [float(x) for x in p]) for i, p in enumerate(points)]
+    found = covertree.link_counts(table(spark, rows).repartition(3), **sizes).collect()
+    assert sorted(map(tuple, found)) == sorted(expected(rows))
+
+
 def test_a_tree_covers_its_points():
     draw = np.random.default_rng(4)
     unit = draw.normal(size=(20, 6))[draw.integers(0, 20, 3000)] + draw.normal(size=(3000, 6)) * 0.1

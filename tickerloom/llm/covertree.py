@@ -7,7 +7,7 @@ sqrt(2 - 2 * threshold).
 2. The top level of the tree is a net of at most ``pivots`` vectors (a bounded, hashed choice).
    Every vector joins its nearest pivot's cell, and a cell's covering radius is the largest
    distance in it. Two cells are compared only if their centers are no farther apart than both
-   radii and the chord. Cells of more than ``cell_points`` vectors are split into parts, so a
+   radii and the chord. A vector length without a pivot is a cell of its own. Cells of more than ``cell_points`` vectors are split into parts, so a
    cell may hold any share of the rows.
 3. A task gets two parts, grows a cover tree on each (levels with halving radii, every point
    within its node's radius), and walks pairs of nodes from the roots: a pair is pruned by the
@@ -240,7 +240,8 @@ def _compare_tile(threshold: float):
 
 
 def _choose_pivots(classes: DataFrame, pivots: int, spacing: float) -> dict[int, np.ndarray]:
-    """By vector length: a net among at most ``pivots`` hashed vectors, per length at most that."""
+    """By vector length: a net among at most ``pivots`` hashed vectors and the first vectors of
+    ``pivots`` lengths. Further lengths have none."""
     size = F.length("vector")
     chosen = (
         classes.orderBy(F.xxhash64("key"), "key").limit(pivots).select("vector").collect()
@@ -258,8 +259,16 @@ def _choose_pivots(classes: DataFrame, pivots: int, spacing: float) -> dict[int,
     return nets
 
 
-def _cells(classes: DataFrame, nets: dict[int, np.ndarray]) -> DataFrame:
-    """Every class with its nearest pivot (numbered over all lengths) and the distance."""
+def _lone_cells(classes: DataFrame, nets: dict[int, np.ndarray]) -> dict[int, int]:
+    """By vector length without a pivot: its one cell, numbered after the pivots."""
+    total = sum(map(len, nets.values()))
+    lengths = [r["n"] for r in classes.select(F.length("vector").alias("n")).distinct().collect()]
+    return {n: total + i for i, n in enumerate(sorted(set(lengths) - set(nets)))}
+
+
+def _cells(classes: DataFrame, nets: dict[int, np.ndarray], lone: dict[int, int]) -> DataFrame:
+    """Every class with its nearest pivot (numbered over all lengths) and the distance, or the
+    cell of its length."""
     offsets, total = {}, 0
     for length, pivots in nets.items():
         offsets[length] = total
@@ -268,7 +277,8 @@ def _cells(classes: DataFrame, nets: dict[int, np.ndarray]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raws = batch.column("vector").to_pylist()
-            cell, distance = np.full(len(raws), -1, np.int32), np.zeros(len(raws))
+            cell = np.array([lone.get(len(r), -1) for r in raws], np.int32)
+            distance = np.zeros(len(raws))
             lengths = np.array([len(r) for r in raws], np.int64)
             for length in set(lengths.tolist()) & set(nets):
                 at = np.flatnonzero(lengths == length)
@@ -318,11 +328,13 @@ def link_counts(
     classes = materialize(classes, "vector-classes")
     wanted = max(1, min(pivots, -(-classes.count() // cell_points)))
     nets = _choose_pivots(classes, wanted, chord / 2)
-    cells = _cells(classes, nets)
+    lone = _lone_cells(classes, nets)
+    cells = _cells(classes, nets, lone)
     sizes = cells.groupBy("cell").agg(
         F.max("distance").alias("radius"), F.count(F.lit(1)).alias("n")
-    ).collect()  # at most one row per pivot
+    ).collect()  # at most one row per pivot and vector length
     near = _near_cells(nets, {r["cell"]: r["radius"] for r in sizes}, chord)
+    near += [(cell, cell) for cell in lone.values()]
     parts = {r["cell"]: -(-r["n"] // cell_points) for r in sizes}
     plan = spark.createDataFrame(
         [(a, b, parts[a], parts[b]) for a, b in near], "cell int, _to int, _own int, _there int"
