@@ -104,6 +104,54 @@ def test_cycles_and_bombs_end():
     assert cut and found[0][:3] == ("access", 0, 20)
 
 
+def lines_of(run, width, end="\n"):
+    return end.join(run[i : i + width] for i in range(0, len(run), width))
+
+
+NOISE = " ".join(hashlib.sha256(bytes([i])).hexdigest()[:9] for i in range(60))
+SPREAD = {
+    "wrapped text": lines_of(b64(f"{NOISE} {KEY} {NOISE}"), 76),
+    "wrapped short lines": lines_of(b64(f"look: {KEY}"), 10, "\r\n"),
+    "wrapped gzip": lines_of(b64(gzip.compress(f"{NOISE} {KEY} {NOISE}".encode())), 64),
+    "wrapped in JSON": lines_of(b64(bz2.compress(f"{NOISE} {KEY} {NOISE}".encode())), 64, "\\n"),
+    "PEM": "-----BEGIN X-----\n" + lines_of(b64(zlib.compress(f"{NOISE} {KEY}".encode())), 64)
+    + "\n-----END X-----",
+    "path": f"/files/{b64(f'look: {KEY}')}",
+    "path, gzip": f"/files/ab/{b64(gzip.compress(f'look: {KEY}'.encode()))}",
+    "name, xz": f"some_name-{b64(lzma.compress(f'look: {KEY}'.encode()))}",
+    "a NUL": b64(f"some words\0 {KEY} more"),
+    "an ESC": b64(f"\x1b[1m {KEY} \x1b[0m"),
+    "binary": b64(bytes(range(128, 256)) + f" {KEY} ".encode() + bytes(range(200, 256))),
+    "UTF-16": b64(f"some words {KEY} more".encode("utf-16")),
+    "UTF-16, big end first": b64(f"some words {KEY} more".encode("utf-16-be")),
+    "two gzip members": b64(gzip.compress(b"first") + gzip.compress(KEY.encode())),
+    "two bzip2 members": b64(bz2.compress(b"first") + bz2.compress(KEY.encode())),
+    "two xz members": b64(lzma.compress(b"first") + bytes(4) + lzma.compress(KEY.encode())),
+    "text after gzip": b64(gzip.compress(b"first") + f" then {KEY} ".encode()),
+    "text with a zlib mark": b64(f"x^x^\0 token = abcx^ {KEY} x^"),
+}
+
+
+@pytest.mark.parametrize("name", SPREAD)
+def test_base64_that_is_not_one_plain_run(name):
+    text = f"é before: {SPREAD[name]} after"
+    found, cut = secret_scan.secrets_in(text)
+    access = [s for s in found if s[0] == "access"]
+    assert access and not cut
+    low, high = text.index(SPREAD[name]), text.index(SPREAD[name]) + len(SPREAD[name])
+    assert all(low <= a < b <= high and layer > 0 for _, a, b, layer in access)
+    again, _ = secret_scan.secrets_in(secret_scan.redacted(text))
+    assert not [s for s in again if s[0] == "access"]
+
+
+def test_archives_nested_a_thousand_times():
+    raw = f" {KEY} ".encode()
+    for _ in range(1500):
+        raw = zlib.compress(raw, 0)
+    found, cut = secret_scan.secrets_in(f"a {b64(raw)} b", 1 << 30)
+    assert [s[0] for s in found if s[0] == "access"] and not cut
+
+
 def test_digests_of_a_table(spark):
     rows = [*AWKWARD, *[(100 + i, t) for i, t in enumerate(BASE)],
             (200, f"two {b64(KEY)} and {KEY}")]

@@ -4,8 +4,10 @@ A document is layer 0. Every layer is scanned for three kinds of secret, then un
 
 - percent escapes and Unicode escapes (\\uXXXX, \\xXX, &#N;) are decoded in place, which gives one
   new layer of the whole text;
-- each long base64 run that decodes to text gives a layer of its own, after undoing any gzip,
-  zlib, bzip2 or xz wrapping, however often repeated.
+- each long base64 run, also one that goes on over line breaks, is decoded at its four alignments,
+  and any gzip, zlib, bzip2 or xz data that start anywhere in it are undone, member after member and
+  however often repeated. What is text gives a layer of its own, and of other bytes each stretch
+  of printable characters, in one byte each or in UTF-16.
 
 New layers join the worklist until none is left. A layer is dropped if the same content was seen
 at the same place before (cycles, archives that hold themselves). Every layer knows how its
@@ -50,6 +52,12 @@ _ASSIGN = re.compile(
 )
 _KEYWORDS = ("passw", "secret", "token", "api")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}", re.ASCII)
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++"
+    r"(?:[ \t]*+(?:\r\n?|\n|\\r\\n|\\n)[ \t>]*+[A-Za-z0-9+/_-]++)++",
+    re.ASCII,
+)
+_LINE = re.compile(r"[ \t]*+(?:\r\n?|\n|\\r\\n|\\n)[ \t>]*+")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+", re.ASCII)
@@ -59,6 +67,12 @@ _ESCAPE = re.compile(
     re.ASCII,
 )
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+_PRINTABLE = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")
+_WIDE = re.compile(rb"[\t\n\r\x20-\x7e](?:\x00[\t\n\r\x20-\x7e]){15,}")
+_MEMBER = re.compile(
+    rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17\x72\x45\x38\x50\x90)|\xfd7zXZ\x00"
+)
+_FEED = 1 << 16  # bytes given to a decompressor at a time
 
 Span = tuple[str, int, int]
 ToParent = Callable[[int, int], tuple[int, int]]
@@ -149,28 +163,41 @@ def _decode_in_place(text: str, pattern: re.Pattern, characters) -> _InPlace | N
     return layer
 
 
-def _decompress(raw: bytes, most: int) -> bytes | None:
-    """One compression layer less, at most ``most`` bytes; None if there is none."""
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78" and len(raw) > 1 and raw[1] in b"\x01\x5e\x9c\xda":
-        undo = zlib.decompressobj(47).decompress
-    elif raw[:3] == b"BZh":
-        undo = bz2.BZ2Decompressor().decompress
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        undo = lzma.LZMADecompressor().decompress
+def _member(raw: bytes, at: int, most: int) -> tuple[bytes, int | None] | None:
+    """The content, at most ``most`` bytes, of the compressed data at ``at``, and their end if it
+    was met; None if there are none."""
+    if raw[at] in b"\x1f\x78":
+        undo = zlib.decompressobj(47)
+    elif raw[at] == ord("B"):
+        undo = bz2.BZ2Decompressor()
     else:
-        return None
+        undo = lzma.LZMADecompressor()
+    parts, size, feed = [], 0, 256
     try:
-        return undo(raw, most)
+        while at < len(raw) and size < most and not undo.eof:
+            parts.append(undo.decompress(raw[at : at + feed], most - size))
+            size += len(parts[-1])
+            at, feed = min(at + feed, len(raw)), min(4 * feed, _FEED)
     except (zlib.error, OSError, lzma.LZMAError, EOFError):
-        return None
+        pass
+    end = at - len(undo.unused_data) if undo.eof else None
+    return (b"".join(parts), end) if size else None
 
 
-def _as_text(raw: bytes) -> str | None:
+def _texts(raw: bytes) -> Iterator[tuple[int, int, str]]:
+    """(start, end, text): all of the bytes if they are text, else their printable stretches."""
     try:
         text = raw.decode()
     except UnicodeDecodeError:
-        return None
-    return None if not text or _CONTROL.search(text) else text
+        text = None
+    if text is not None and not _CONTROL.search(text):
+        if text:
+            yield 0, len(raw), text
+        return
+    for match in _PRINTABLE.finditer(raw):
+        yield *match.span(), match[0].decode()
+    for match in _WIDE.finditer(raw):
+        yield *match.span(), match[0][::2].decode()
 
 
 def _unbase64(run: str) -> Iterator[tuple[int, int, bytes]]:
@@ -225,22 +252,63 @@ class _Work:
                 )
         for a, b in runs:
             self._base64(text[a:b], a, to_root, depth)
+        for match in _WRAPPED.finditer(text):
+            self._wrapped(text, match, to_root, depth)
 
     def _base64(self, run: str, at: int, to_root: ToParent, depth: int) -> None:
+        self._encoded(run, [0], [at], to_root, depth)
+
+    def _wrapped(self, text: str, match: re.Match, to_root: ToParent, depth: int) -> None:
+        """A run over line breaks, of which what lies in one line is left to the line's own run."""
+        low, high = match.span()
+        edges, origins, lines, size = [], [], [], 0
+        for line in (*_LINE.finditer(text, low, high), None):
+            end = line.start() if line else high
+            edges.append(size)
+            origins.append(low)
+            lines.append(text[low:end])
+            size += end - low
+            low = line.end() if line else high
+        if size >= 16:
+            self._encoded("".join(lines), edges, origins, to_root, depth)
+
+    def _encoded(
+        self, run: str, edges: list[int], origins: list[int], to_root: ToParent, depth: int
+    ) -> None:
+        """The layers of a run whose lines start at ``edges``, and at ``origins`` in the layer."""
         for low, high, raw in _unbase64(run):
-            place = to_root(at + low, at + high)
-            deeper = depth + 1
-            while raw is not None and (inner := _decompress(raw, self.left + 1)) is not None:
-                if (*place, raw) in self.seen:
-                    return
-                self.seen.add((*place, raw))
-                raw, deeper = inner, deeper + 1
-                if not self._spend(len(raw)):
-                    raw = raw[: self.left]
-                    break
-            if text := _as_text(raw):
-                self._add(text, place, lambda a, b, place=place: place, None, deeper)
-                return  # one alignment at most holds text that was meant
+
+            def place(start: int, end: int) -> tuple[int, int] | None:
+                a, b = low + start * 4 // 3, min(high, low - (-end * 4 // 3))
+                first, last = bisect_right(edges, a) - 1, bisect_right(edges, b - 1) - 1
+                if first == last and len(edges) > 1:
+                    return None
+                return to_root(origins[first] + a - edges[first], origins[last] + b - edges[last])
+
+            self._bytes(raw, place, depth + 1)
+
+    def _bytes(self, raw: bytes, place: Callable, depth: int) -> None:
+        """The texts of the bytes and of the compressed data anywhere in them."""
+        todo = [(raw, place, depth)]
+        while todo:
+            raw, place, depth = todo.pop()
+            for a, b, text in _texts(raw):
+                if (root := place(a, b)) is not None:
+                    self._add(text, root, lambda a, b, root=root: root, None, depth)
+            at = 0
+            while match := _MEMBER.search(raw, at):
+                start, at = match.start(), match.start() + 1
+                if (member := _member(raw, start, self.left + 1)) is None:
+                    continue
+                inner, end = member
+                at = at if end is None else end
+                root = place(start, len(raw) if end is None else end)
+                if root is None or (*root, inner) in self.seen:
+                    continue
+                self.seen.add((*root, inner))
+                if not self._spend(len(inner)):
+                    inner, self.left = inner[: self.left], 0
+                todo.append((inner, lambda a, b, root=root: root, depth + 1))
 
     def _spend(self, size: int) -> bool:
         if size > self.left:
