@@ -3,6 +3,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
 import zlib
 from urllib.parse import quote
@@ -152,6 +153,47 @@ def test_archives_nested_a_thousand_times():
     assert [s[0] for s in found if s[0] == "access"] and not cut
 
 
+def test_long_texts_are_decoded_whole(monkeypatch):
+    """What is decoded in place is no decompression; pieces do not cut what goes over them."""
+    monkeypatch.setattr(secret_scan, "PIECE", 100)
+    secrets = [LAYERS[k](KEY) for k in ("percent", "unicode", "entities", "base64", "gzip")]
+    secrets += [LAYERS["unicode"](LAYERS["percent"](KEY)), "password %253D %20abcdefghijklmnop"]
+    secrets += [quote(quote(lines_of(b64(f"{NOISE} {KEY}"), 60))), "%70assword = abcdefghijklmnop"]
+    secrets += [lines_of(b64(f"{NOISE} {KEY}").replace("A", "%41"), 76)]
+    plain = "some plain words go on, " * 40
+    text = "%41 \\u0041 " + "".join(f"{plain}{s} {plain}é{s}漢" for s in secrets)
+    found, cut = secret_scan.secrets_in(text, 2000)
+    for s in secrets:
+        at = text.index(s)
+        for low in (at, text.index(s, at + len(s))):
+            assert any(low <= a < b <= low + len(s) for _, a, b, _ in found), s
+    assert not cut and KEY not in secret_scan.redacted(text, 2000)
+
+
+def test_pieces_and_whole_texts_agree(monkeypatch):
+    draw = random.Random(3)
+    bits = ["%3D", "%20", "=", ":", " ", " ", "\n", ",", "é", "word", "the", "password", "token", "%70",
+            "\\u003a", "&#61;", "'", '"', "abcdefghijkl", "0123456789abcdef", "%2525", "%253D", KEY,
+            b64(KEY), LAYERS["percent"](KEY), "\\", "&", "#", "%", ";"]
+    for _ in range(300):
+        text = "".join(draw.choice(bits) for _ in range(draw.randrange(5, 60)))
+        monkeypatch.setattr(secret_scan, "PIECE", 1 << 16)
+        whole = {span[:3] for span in secret_scan.secrets_in(text)[0]}
+        monkeypatch.setattr(secret_scan, "PIECE", 1)
+        assert {span[:3] for span in secret_scan.secrets_in(text)[0]} == whole, text
+
+
+def test_what_a_bound_keeps_from_being_read_is_replaced():
+    bomb = b64(gzip.compress(b"a1 " * 100_000))
+    clean = secret_scan.redacted(f"x {bomb} y {LAYERS['percent'](KEY)} z", 1 << 16)
+    assert "[unread]" in clean and "[access]" in clean and bomb[:200] not in clean
+    deep = "%" + "25" * 3000 + "41"
+    found, cut = secret_scan.secrets_in(f"x {deep} y", 1000)
+    assert cut and all(s[0] == "hex" for s in found)
+    found, cut = secret_scan.secrets_in("x %" + "25" * 1200 + "41KIAABCDEFGHIJKLMNOP y")
+    assert "access" in [s[0] for s in found] and not cut
+
+
 def test_digests_of_a_table(spark):
     rows = [*AWKWARD, *[(100 + i, t) for i, t in enumerate(BASE)],
             (200, f"two {b64(KEY)} and {KEY}")]

@@ -2,8 +2,8 @@
 
 A document is layer 0. Every layer is scanned for three kinds of secret, then unwrapped:
 
-- percent escapes and Unicode escapes (\\uXXXX, \\xXX, &#N;) are decoded in place, which gives one
-  new layer of the whole text;
+- percent escapes and Unicode escapes (\\uXXXX, \\xXX, &#N;) are decoded in place, piece by piece: a
+  piece ends where no match can go on, and each piece with escapes gives one new layer;
 - each long base64 run, also one that goes on over line breaks, is decoded at its four alignments,
   and any gzip, zlib, bzip2 or xz data that start anywhere in it are undone, member after member and
   however often repeated. What is text gives a layer of its own, and of other bytes each stretch
@@ -14,8 +14,12 @@ at the same place before (cycles, archives that hold themselves). Every layer kn
 characters lie in its parent, so spans found anywhere are reported on the original text (code
 points, end exclusive). Layer 0's own matches are the base and always stay.
 
-``max_decoded`` bounds what may be decoded out of one document, against decompression bombs; a
-document that would exceed it is fully scanned as far as it was decoded and has ``cut`` set.
+``max_decoded`` bounds what may be decompressed out of one document, against decompression bombs.
+What is decoded in place or out of base64 never grows, so a text of any length is decoded whole;
+only against endless nesting all layers together hold at most ``NESTED`` characters for each
+character of the text and of what was decompressed (or ``max_decoded``, if more). A document that
+would exceed a bound is fully scanned as far as it was decoded and has ``cut`` set, and ``redact``
+replaces what it could not read.
 
 Defined cases: a null text is empty (no spans); equal rows give equal rows; an empty table gives
 no rows; other columns are ignored by ``find_secrets`` and kept by ``redact``.
@@ -31,6 +35,8 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import partial
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,6 +46,8 @@ from tickerloom.llm.common import text_column, texts_of
 
 KINDS = ("assign", "access", "hex")
 MAX_DECODED = 1 << 26
+NESTED = 64
+PIECE = 1 << 16
 
 FOUND = (
     "doc_id long, spans array<struct<kind:string,start:long,end:long,layer:int>>, cut boolean"
@@ -66,6 +74,11 @@ _ESCAPE = re.compile(
     r"|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});",
     re.ASCII,
 )
+# Where no secret, escape or run goes on, however much of the text around is decoded: at other
+# characters than theirs, and between two plain words.
+_BREAK = re.compile(
+    r"""[^A-Za-z0-9+/_.=\-"':%\\&#;>\s]|(?<=\s)[A-Za-z.]{1,15}\x20(?=[A-Za-z.]{1,15}\s)""", re.ASCII
+)
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _PRINTABLE = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")
 _WIDE = re.compile(rb"[\t\n\r\x20-\x7e](?:\x00[\t\n\r\x20-\x7e]){15,}")
@@ -76,6 +89,7 @@ _FEED = 1 << 16  # bytes given to a decompressor at a time
 
 Span = tuple[str, int, int]
 ToParent = Callable[[int, int], tuple[int, int]]
+Layer = tuple[str, tuple[int, int], tuple, Callable[[int, int], bool] | None, int]
 
 
 def scan(text: str, runs: list[tuple[int, int]]) -> list[Span]:
@@ -149,6 +163,12 @@ def _escape_characters(run: str) -> Iterator[tuple[str, int]]:
         yield chr(code) if valid else "�", len(run)
 
 
+_MARKS = (
+    ("%", _PERCENT, _percent_characters), ("\\", _ESCAPE, _escape_characters),
+    ("&#", _ESCAPE, _escape_characters),
+)
+
+
 def _decode_in_place(text: str, pattern: re.Pattern, characters) -> _InPlace | None:
     layer, at = None, 0
     for match in pattern.finditer(text):
@@ -163,6 +183,16 @@ def _decode_in_place(text: str, pattern: re.Pattern, characters) -> _InPlace | N
     return layer
 
 
+def _pieces(text: str) -> Iterator[tuple[int, int]]:
+    """Pieces of about ``PIECE`` characters that end at a break."""
+    low = 0
+    while low < len(text):
+        near = _BREAK.search(text, low + PIECE) if len(text) - low > PIECE else None
+        high = near.end() if near else len(text)
+        yield low, high
+        low = high
+
+
 def _member(raw: bytes, at: int, most: int) -> tuple[bytes, int | None] | None:
     """The content, at most ``most`` bytes, of the compressed data at ``at``, and their end if it
     was met; None if there are none."""
@@ -212,53 +242,81 @@ def _unbase64(run: str) -> Iterator[tuple[int, int, bytes]]:
         yield skip, skip + size, binascii.a2b_base64(part + "=" * (-size % 4))
 
 
+def _root(maps: tuple | None, a: int, b: int) -> tuple[int, int]:
+    """A span on the original text, through the maps from each layer to its parent."""
+    while maps is not None:
+        back, maps = maps
+        a, b = back(a, b)
+    return a, b
+
+
+def _same(content: str | bytes) -> bytes:
+    """Equal for equal content of one type."""
+    if isinstance(content, bytes):
+        kind, raw = b"b", content
+    else:
+        kind, raw = b"t", content.encode("utf-8", "surrogatepass")
+    return kind + (raw if len(raw) <= 32 else blake2b(raw, digest_size=32).digest())
+
+
 class _Work:
     """The worklist of one document."""
 
     def __init__(self, text: str, most: int):
         self.text, self.left, self.cut = text, most, False
-        self.seen: set[tuple[int, int, str | bytes]] = set()
+        self.nested = max(most, NESTED * len(text))
+        self.seen: set[tuple[int, int, bytes]] = set()
         self.found: dict[Span, int] = {}
-        self.todo: list[
-            tuple[str, tuple[int, int], ToParent, Callable[[int, int], bool] | None, int]
-        ] = []
+        self.unread: set[tuple[int, int]] = set()
 
     def run(self) -> list[tuple[str, int, int, int]]:
-        self._layer(self.text, (0, len(self.text)), lambda a, b: (a, b), None, 0)
-        while self.todo:
-            self._layer(*self.todo.pop())
+        """Layers in depth first order, each made when its turn comes."""
+        todo = [self._layer(self.text, (0, len(self.text)), None, None, 0)]
+        while todo:
+            inner = next(todo[-1], None)
+            if inner is None:
+                todo.pop()
+            else:
+                todo.append(self._layer(*inner))
         order = sorted(self.found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
         return [(*span, self.found[span]) for span in order]
 
     def _layer(
-        self, text: str, place: tuple[int, int], to_root: ToParent, touched, depth: int
-    ) -> None:
-        """``place`` is what the layer came out of, on the original text."""
+        self, text: str, place: tuple[int, int], maps: tuple | None, touched, depth: int
+    ) -> Iterator[Layer]:
+        """Scans a layer and gives the layers in it. ``place`` is what it came out of, on the
+        original text; ``maps`` leads there."""
         runs = [m.span() for m in _RUN.finditer(text)]
         for kind, a, b in scan(text, runs):
             if touched is None or touched(a, b):
-                span = (kind, *to_root(a, b))
+                span = (kind, *_root(maps, a, b))
                 self.found[span] = min(depth, self.found.get(span, depth))
-        for mark, pattern, characters in (
-            ("%", _PERCENT, _percent_characters), ("\\", _ESCAPE, _escape_characters),
-            ("&#", _ESCAPE, _escape_characters),
-        ):
-            if mark in text and (layer := _decode_in_place(text, pattern, characters)):
-                inner = "".join(layer.parts)
-                back = layer.to_parent
-                self._add(
-                    inner, place,
-                    lambda a, b, back=back: to_root(*back(a, b)), layer.touched, depth + 1,
-                )
+        marks = [mark for mark in _MARKS if mark[0] in text]
+        for low, high in _pieces(text) if marks else ():
+            piece = text[low:high]
+            source = place if len(piece) == len(text) else _root(maps, low, high)
+            for mark, pattern, characters in marks:
+                if mark in piece and (layer := _decode_in_place(piece, pattern, characters)):
+
+                    def back(a, b, layer=layer, low=low):
+                        a, b = layer.to_parent(a, b)
+                        return a + low, b + low
+
+                    inner = "".join(layer.parts)
+                    layer.parts.clear()
+                    yield from self._new(inner, source, (back, maps), layer.touched, depth + 1)
+        to_root = partial(_root, maps)
         for a, b in runs:
-            self._base64(text[a:b], a, to_root, depth)
+            yield from self._base64(text[a:b], a, to_root, depth)
         for match in _WRAPPED.finditer(text):
-            self._wrapped(text, match, to_root, depth)
+            yield from self._wrapped(text, match, to_root, depth)
 
-    def _base64(self, run: str, at: int, to_root: ToParent, depth: int) -> None:
-        self._encoded(run, [0], [at], to_root, depth)
+    def _base64(self, run: str, at: int, to_root: ToParent, depth: int) -> Iterator[Layer]:
+        yield from self._encoded(run, [0], [at], to_root, depth)
 
-    def _wrapped(self, text: str, match: re.Match, to_root: ToParent, depth: int) -> None:
+    def _wrapped(
+        self, text: str, match: re.Match, to_root: ToParent, depth: int
+    ) -> Iterator[Layer]:
         """A run over line breaks, of which what lies in one line is left to the line's own run."""
         low, high = match.span()
         edges, origins, lines, size = [], [], [], 0
@@ -270,11 +328,11 @@ class _Work:
             size += end - low
             low = line.end() if line else high
         if size >= 16:
-            self._encoded("".join(lines), edges, origins, to_root, depth)
+            yield from self._encoded("".join(lines), edges, origins, to_root, depth)
 
     def _encoded(
         self, run: str, edges: list[int], origins: list[int], to_root: ToParent, depth: int
-    ) -> None:
+    ) -> Iterator[Layer]:
         """The layers of a run whose lines start at ``edges``, and at ``origins`` in the layer."""
         for low, high, raw in _unbase64(run):
 
@@ -285,16 +343,17 @@ class _Work:
                     return None
                 return to_root(origins[first] + a - edges[first], origins[last] + b - edges[last])
 
-            self._bytes(raw, place, depth + 1)
+            yield from self._bytes(raw, place, depth + 1)
 
-    def _bytes(self, raw: bytes, place: Callable, depth: int) -> None:
+    def _bytes(self, raw: bytes, place: Callable, depth: int) -> Iterator[Layer]:
         """The texts of the bytes and of the compressed data anywhere in them."""
         todo = [(raw, place, depth)]
         while todo:
             raw, place, depth = todo.pop()
             for a, b, text in _texts(raw):
                 if (root := place(a, b)) is not None:
-                    self._add(text, root, lambda a, b, root=root: root, None, depth)
+                    maps = (lambda a, b, root=root: root, None)
+                    yield from self._new(text, root, maps, None, depth)
             at = 0
             while match := _MEMBER.search(raw, at):
                 start, at = match.start(), match.start() + 1
@@ -303,24 +362,31 @@ class _Work:
                 inner, end = member
                 at = at if end is None else end
                 root = place(start, len(raw) if end is None else end)
-                if root is None or (*root, inner) in self.seen:
+                if root is None or (key := (*root, _same(inner))) in self.seen:
                     continue
-                self.seen.add((*root, inner))
-                if not self._spend(len(inner)):
-                    inner, self.left = inner[: self.left], 0
+                self.seen.add(key)
+                if len(inner) > self.left:
+                    inner = inner[: self.left]
+                    self._refuse(root)
+                self.left -= len(inner)
+                self.nested += NESTED * len(inner)
                 todo.append((inner, lambda a, b, root=root: root, depth + 1))
 
-    def _spend(self, size: int) -> bool:
-        if size > self.left:
-            self.cut = True
-            return False
-        self.left -= size
-        return True
+    def _refuse(self, place: tuple[int, int]) -> None:
+        self.cut = True
+        self.unread.add(place)
 
-    def _add(self, text: str, place: tuple[int, int], to_root, touched, depth: int) -> None:
-        if (*place, text) not in self.seen and self._spend(len(text)):
-            self.seen.add((*place, text))
-            self.todo.append((text, place, to_root, touched, depth))
+    def _new(
+        self, text: str, place: tuple[int, int], maps: tuple, touched, depth: int
+    ) -> Iterator[Layer]:
+        if (key := (*place, _same(text))) in self.seen:
+            return
+        if len(text) > self.nested:
+            self._refuse(place)
+            return
+        self.nested -= len(text)
+        self.seen.add(key)
+        yield text, place, maps, touched, depth
 
 
 def secrets_in(text: str, most: int = MAX_DECODED) -> tuple[list[tuple[str, int, int, int]], bool]:
@@ -355,10 +421,14 @@ def find_secrets(docs: DataFrame, max_decoded: int = MAX_DECODED) -> DataFrame:
 
 
 def redacted(text: str, max_decoded: int = MAX_DECODED) -> str:
-    """The text with every secret replaced; overlapping spans become one mark."""
-    found, _ = secrets_in(text, max_decoded)
+    """The text with every secret replaced, and what a bound kept from being read; overlapping
+    spans become one mark."""
+    work = _Work(text, max_decoded)
+    spans = [(start, end, kind) for kind, start, end, _ in work.run()]
+    if work.unread:
+        spans = sorted([*spans, *((*place, "unread") for place in work.unread)], key=lambda s: s[0])
     parts, at = [], 0
-    for kind, start, end, _ in found:
+    for start, end, kind in spans:
         if start >= at:
             parts += [text[at:start], f"[{kind}]"]
         at = max(at, end)
