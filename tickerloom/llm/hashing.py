@@ -46,10 +46,21 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """One hash per stretch of bytes."""
+    return stretch_hashes(prefix_sums(raw), starts, ends)
+
+
+def prefix_sums(raw: np.ndarray) -> np.ndarray:
+    """Of the bytes' codes times their powers; ``stretch_hashes`` takes differences of them."""
     sums = np.zeros(len(raw) + 1, np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum(_CODES[raw] * _powers(_BASE, len(raw)), out=sums[1:])
-        found = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw) + 1)[starts]
+    return sums
+
+
+def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash per stretch of bytes, which may overlap, from the prefix sums."""
+    with np.errstate(over="ignore"):
+        found = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(sums))[starts]
         found += (ends - starts).astype(np.uint64)
     return mixed(found)
 

@@ -13,7 +13,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm import covertree, edits, mixing, neardup, packing, quality, repeats, secret_scan, warc, wavelet
+from tickerloom.llm import (
+    covertree,
+    edits,
+    importance,
+    mixing,
+    neardup,
+    packing,
+    quality,
+    repeats,
+    secret_scan,
+    spelling,
+    suffixes,
+    warc,
+    wavelet,
+)
 from tickerloom.llm.common import read_table
 from tickerloom.llm.oracles import ORACLE_SQL
 
@@ -83,6 +97,20 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_records(warc.read_captures(directory), payloads=False).drop("payload", "url")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return importance.resample(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return spelling.group_variants(spelling.count_words(docs, one_in=spelling.ERROR_RATE))
+
+
+def op13_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.long_repeat_digest(suffixes.find_long_repeats(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_wavelet": op1_wavelet,
@@ -95,4 +123,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_cover_tree": op9_cover_tree,
     "op10_warc": op10_warc,
+    "op11_importance": op11_importance,
+    "op12_spelling": op12_spelling,
+    "op13_suffixes": op13_suffixes,
 }
