@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tickerloom.sources.storage import materialize, scratch_path
 
 __all__ = ["materialize", "scratch_path", "read_table", "words", "text_column", "task_count",
-           "write_bytes", "read_range", "open_file", "texts_of"]
+           "write_bytes", "read_range", "open_file", "texts_of", "release_memory"]
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +48,15 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system at the end of a task: Spark keeps Python workers, and
+    what they hold on to stands beside every later stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
 # --- files in the shared folder, written and read inside tasks -------------------------------
 
 

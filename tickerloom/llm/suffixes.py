@@ -13,8 +13,8 @@ window covers whose bytes also start anywhere else, in the same document or anot
 3. Sort: the segments meet by code, one per content and chunk. A task takes some codes at a time
    (``shard_bytes``, or one code), joins the contents to one text and sorts the suffixes at their
    windows in two stages: those smaller than their successors directly, the others by scanning
-   the buckets of first bytes in order. Adjacent common prefixes of ``length`` or more name the
-   windows that recur. A content that occurs several times stands in the text twice.
+   the buckets of first bytes in order. The suffixes of a content that occurs several times stand
+   in that order twice. Adjacent common prefixes of ``length`` or more name the windows that recur.
 4. Each chunk gets, per segment, one bit per window, and cuts its documents.
 
 Hashes only lead equal windows to one task and leave out codes and windows that occur once; the
@@ -37,13 +37,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickerloom.llm.common import materialize, task_count
+from tickerloom.llm.common import materialize, release_memory, task_count
 from tickerloom.llm.hashing import mixed, prefix_sums, stretch_hashes
 from tickerloom.llm.repeats import pack_chunks
 
 LENGTH = 200
-SHARD_BYTES = 1 << 22
-HOT_SEGMENTS = 1 << 15
+SHARD_BYTES = 1 << 20
+HOT_SEGMENTS = 1 << 13
 #: Window starts that are hashed at a time; also the longest segment.
 STRIDE = 1 << 16
 
@@ -53,6 +53,7 @@ MARKS = "chunk long, id long, marks binary"
 REMOVED = "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
 
 _SEPARATOR = b"\xff"  # no byte of UTF-8
+_COMPARED = 1 << 14  # neighbours that are compared at a time
 
 
 # --- two-stage suffix sorting of one text ---------------------------------------------------------
@@ -111,22 +112,23 @@ def _inside(n: int, firsts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     steps = np.zeros(n + 1, np.int32)
     np.add.at(steps, firsts, 1)
     np.add.at(steps, np.maximum(firsts, ends), -1)
-    return np.cumsum(steps[:-1]) > 0
+    return np.cumsum(steps[:-1], dtype=np.int32) > 0
 
 
 def common_prefixes(raw: bytes, order: np.ndarray, depth: int) -> np.ndarray:
     """Bytes that each suffix shares with the one before it in ``order``, at most ``depth``."""
-    padded = raw + bytes(depth + 16)
-    lanes = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    lanes = -(-depth // 8)
+    padded = raw + bytes(8 * lanes)
+    words = np.ndarray((len(raw), lanes), "<u8", padded, strides=(1, 8))
     shared = np.zeros(len(order), np.int64)
-    alive = np.arange(1, len(order))
-    for at in range(0, depth, 8):
-        differ = lanes[order[alive] + at] ^ lanes[order[alive - 1] + at]
-        same = differ == 0
-        lowest = differ[~same] & (~differ[~same] + np.uint64(1))
-        shared[alive[~same]] = at + np.log2(lowest).astype(np.int64) // 8
-        alive = alive[same]
-    shared[alive] = depth
+    for low in range(1, len(order), _COMPARED):
+        part = words[order[low - 1 : low + _COMPARED]]
+        differ = part[1:] ^ part[:-1]
+        first = (differ != 0).argmax(1)
+        value = differ[np.arange(len(first)), first]
+        lowest = value & (~value + np.uint64(1))
+        found = 8 * first + np.log2(np.maximum(lowest, 1)).astype(np.int64) // 8
+        shared[low : low + _COMPARED] = np.where(value == 0, depth, found)
     return np.minimum(shared, depth)
 
 
@@ -213,6 +215,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for at in range(batch.num_rows):
             yield batch.slice(at, 1).to_pylist()[0]
+    release_memory()
 
 
 def _batch(schema: str, columns: list) -> pa.RecordBatch:
@@ -331,23 +334,21 @@ class _Shard:
 
     def marks(self) -> pa.RecordBatch:
         """(chunk, id, one bit per window) for contents with a window that recurs."""
-        copies = np.minimum(self.copies, 2)
-        places = np.repeat(np.arange(len(self.texts)), copies)
-        parts = [self.texts[i] for i in places.tolist()]
-        raw = _SEPARATOR.join([*parts, b""])
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        raw = _SEPARATOR.join([*self.texts, b""])
+        sizes = np.fromiter(map(len, self.texts), np.int64, len(self.texts)) + 1
         firsts = np.cumsum(sizes) - sizes
-        count = np.array(self.windows, np.int64)
-        order = sort_suffixes(raw, firsts, firsts + count[places], self.length)
+        order = sort_suffixes(raw, firsts, firsts + self.windows, self.length)
+        if max(self.copies) > 1:
+            copies = np.minimum(self.copies, 2)
+            order = np.repeat(order, copies[np.searchsorted(firsts, order, "right") - 1])
         same = common_prefixes(raw, order, self.length) >= self.length
         again = same.copy()
         again[:-1] |= same[1:]
         recurs = np.zeros(len(raw), bool)
         recurs[order[again]] = True
-        first_of = firsts[np.cumsum(copies) - copies]
         bits = [
             np.packbits(recurs[a : a + n]).tobytes() if recurs[a : a + n].any() else None
-            for a, n in zip(first_of.tolist(), self.windows)
+            for a, n in zip(firsts.tolist(), self.windows)
         ]
         found = [(chunk, self.names[i], bits[i]) for chunk, i in self.owners if bits[i]]
         return _batch(MARKS, list(zip(*found)) if found else [()] * 3)
@@ -366,6 +367,8 @@ def _sorted_shards(segments: DataFrame, length: int, shard_bytes: int) -> DataFr
                 last = code, name
         if shard.texts:
             yield shard.marks()
+        shard.clear()
+        release_memory()
 
     tasks = task_count(segments.sparkSession)
     dealt = segments.repartition(tasks, "code").sortWithinPartitions("code", "id")
@@ -390,7 +393,7 @@ def _cut(row: dict, length: int) -> Iterator[tuple]:
             turns = np.flatnonzero(np.diff(bits, prepend=0, append=0)) + first[i]
             np.add.at(steps, turns[::2], 1)
             np.add.at(steps, turns[1::2] + length - 1, -1)
-        gone = np.cumsum(steps[:-1]) > 0
+        gone = np.cumsum(steps[:-1], dtype=np.int32) > 0
     for doc_id, low, high in zip(segments.ids, segments.starts.tolist(), segments.ends.tolist()):
         cut = gone[low:high]
         turns = np.flatnonzero(np.diff(cut, prepend=False, append=False)).tolist()
