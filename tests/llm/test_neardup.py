@@ -54,10 +54,10 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("tile", [8, 256])
-def test_links_and_groups_match_all_pairs(spark, tile):
+@pytest.mark.parametrize("part", [8, 1024])
+def test_links_and_groups_match_all_pairs(spark, part):
     rows = [*corpus(), *[(1000 + i if i else None, t) for i, t in AWKWARD]]
-    found = neardup.link_counts(documents(spark, rows).repartition(4), tile=tile).collect()
+    found = neardup.link_counts(documents(spark, rows).repartition(4), part=part).collect()
     key = lambda r: str(tuple(r))
     assert sorted(map(tuple, found), key=key) == sorted(expected(rows), key=key)
 
@@ -111,6 +111,30 @@ def test_shared_counts_of_frequent_and_rare_shingles():
             assert i == j or shared[i, j] == len(np.intersect1d(sets[i], sets[j]))
 
 
+def test_parts_travel_packed():
+    draw = np.random.default_rng(2)
+    grams = [np.unique(draw.integers(0, 90, n, dtype=np.uint64)) for n in (40, 1, 77)]
+    part = neardup._Part([5, 2**40, 7], [1, 9, 2], draw.integers(-9, 9, (3, 4)), grams)
+    again = neardup._Part.unpack(part.pack())
+    assert again.classes.tolist() == [5, 2**40, 7] and again.n_docs.tolist() == [1, 9, 2]
+    assert (again.bands == part.bands).all()
+    assert [g.tolist() for g in again.grams] == [g.tolist() for g in grams]
+
+
+def test_buckets_with_equal_members_are_checked_once(spark):
+    """Twenty copies but for one word, alone in the table: they share whole bands."""
+    rows = [(i, f"{sentence(0, 400)} end{i}") for i in range(20)]
+    docs = documents(spark, rows)
+    signed = neardup.sign(docs, 5, 18, 4)
+    classes = signed.select(signed.doc_id.alias("class"), "n_shingles", "bands")
+    buckets = neardup._buckets(classes, 1024)
+    most = classes.count() * 18
+    assert 20 <= buckets.count() < most / 2
+    assert sorted(map(str, neardup.link_counts(docs).collect())) == sorted(
+        map(str, neardup.link_counts(docs, part=3).collect())
+    )
+
+
 @pytest.mark.parametrize("edges", [
     [(i, i + 1) for i in range(60)], [(0, i) for i in range(1, 40)] + [(100, 101), (101, 102)],
     [(5, 5)], [(9, 3), (3, 9), (9, 7), (2, 1)],

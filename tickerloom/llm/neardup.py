@@ -4,10 +4,13 @@
    cut into bands. Documents with one set form a class; only one text per class goes on.
 2. Bands are shuffled as (band hash, class). The numbers of bands and rows follow from the
    threshold and the recall wanted there (``band_plan``).
-3. A bucket of many classes is split into parts of about ``tile``, and every two parts meet in a
-   task of their own. A task takes the full shingle sets of its tile and checks each pair exactly,
-   unless the pair shares an earlier band and is checked there. It returns, per class, how many
-   documents it links with and the smallest class of its linked neighbourhood, never the pairs.
+3. Of buckets with equal members the one of the first band stays. Classes that share a bucket get
+   their full shingle sets, once. A bucket goes to one task, or, if it holds more than ``part``
+   classes or ``PART_SHINGLES`` shingles, in parts of that size, each of which is packed (shingles
+   as numbers of the part's dictionary, compressed) and meets every other part in a task of their
+   own. A task checks each pair exactly, unless the pair shares an earlier band and is checked
+   there. It returns, per class, how many documents it links with and the smallest class of its
+   linked neighbourhood, never the pairs.
 4. Link counts add up per class; the neighbourhoods give groups by connected components.
 
 Defined cases: a text of fewer than ``size`` words is one shingle of all its words; documents
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import materialize, task_count, text_column, texts_of
+from tickerloom.llm.common import materialize, release_memory, task_count, text_column, texts_of
 from tickerloom.llm.components import components
 from tickerloom.llm.hashing import mixed, window_hashes, word_hashes
 
@@ -34,10 +37,14 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 ROWS = 4
-TILE = 256
+#: Classes and shingles of a part; a task holds two parts.
+PART = 1024
+PART_SHINGLES = 1 << 19
 
 SIGNED = "doc_id long, key binary, n_shingles int, bands array<long>"
+GRAMS = "class long, key binary, n_docs long, bands array<long>, grams binary"
 FOUND = "class long, links long, root long"
+PACKED = f"{FOUND}, bucket long, band int, part int, parts int, packed binary"
 
 _SEED = 0x5EED
 
@@ -106,128 +113,280 @@ def sign(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                  pa.array(counts, pa.int32()), pa.array(codes, pa.list_(pa.int64()))],
                 ["doc_id", "key", "n_shingles", "bands"],
             )
+        release_memory()
 
     rows_in = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"))
     return materialize(rows_in.mapInArrow(run, SIGNED), "signatures")
 
 
-# --- tiles --------------------------------------------------------------------------------------
+# --- buckets ------------------------------------------------------------------------------------
 
 
-def _tiles(classes: DataFrame, tile: int) -> DataFrame:
-    """(band, bucket, low, high, part, class): where each class is checked against which."""
-    member = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
-    sizes = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    parts = F.ceil(F.col("_n") / F.lit(tile)).cast("int")
-    joined = member.join(sizes, "bucket").withColumn("_parts", parts)
-    own = F.pmod(F.xxhash64("class"), F.col("_parts")).cast("int")
-    met = joined.withColumn("part", own).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+def _buckets(classes: DataFrame, part: int) -> DataFrame:
+    """(bucket, band, class, part, parts): where each class is checked. Buckets with equal members
+    are one bucket, of the first of their bands."""
+    member = classes.select("class", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    mark = F.xxhash64("class")
+    # 32 bits of a hash at a time: their sum is exact, so members in any order give one name.
+    sums = [F.sum(F.shiftrightunsigned(mark, 32)), F.sum(mark.bitwiseAND((1 << 32) - 1))]
+    sizes = member.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("n_shingles").alias("_grams"),
+        F.min("band").alias("band"), *[c.alias(f"_sum{i}") for i, c in enumerate(sums)],
+        F.bit_xor(mark).alias("_xor"),
+    ).filter("_n > 1")
+    first = sizes.groupBy("_n", "_grams", "_sum0", "_sum1", "_xor").agg(
+        F.min(F.struct("band", "bucket")).alias("_first")
     )
-    return met.select(
-        "band", "bucket", F.least("part", "_other").alias("low"),
-        F.greatest("part", "_other").alias("high"), "part", "class",
+    parts = F.greatest(F.ceil(F.col("_n") / part), F.ceil(F.col("_grams") / PART_SHINGLES))
+    kept = first.select("_first.*", parts.cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("class", F.lit(_SEED)), F.col("parts")).cast("int")
+    return member.drop("band").join(kept, "bucket").select(
+        "bucket", "band", "class", own.alias("part"), "parts"
     )
 
 
+def _shingled(classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(class, key, n_docs, bands, grams) of the given classes, from the text of one document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = [shingles(text, size) for text in texts_of(batch)]
+            # Another row's text under the same doc_id has another key.
+            own = pa.array([set_key(g) for g in grams], pa.binary())
+            same = np.array([a == b for a, b in zip(own.to_pylist(), batch.column("key").to_pylist())], bool)
+            raw = pa.array([g.tobytes() for g in grams], pa.binary())
+            columns = [batch.column(c) for c in ("class", "key", "n_docs", "bands")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, raw], [f.split()[0] for f in GRAMS.split(", ")]
+            ).filter(pa.array(same))
+        release_memory()
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("class"), text_column().alias("text"))
+    rows = classes.select("class", "key", "n_docs", "bands").join(texts, "class")
+    return rows.mapInArrow(run, GRAMS)
+
+
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """Matrix of |A & B|: frequent shingles by a dense product, the others pair by pair."""
+    """Matrix of |A & B|.
+
+    Shingles that most sets have are counted by the sets that lack them, so only differences
+    between near copies cost anything; what occurs in a few sets is counted pair by pair, the
+    rest by a dense product.
+    """
     n = len(sets)
-    member = np.repeat(np.arange(n), [len(s) for s in sets])
+    sizes = [len(s) for s in sets]
+    real = np.float32 if max(sizes) < 1 << 24 else np.float64
+    member = np.repeat(np.arange(n), sizes)
     _, gram = np.unique(np.concatenate(sets), return_inverse=True)
+    spread = np.bincount(gram)
+    most = spread > n // 2
+    shared = np.zeros((n, n), real)
+    if n > 2 and most.any():
+        number = np.cumsum(most) - 1
+        inside = most[gram]
+        lacks = np.ones((n, int(most.sum())), bool)
+        lacks[member[inside], number[gram[inside]]] = False
+        missing = lacks.sum(1, dtype=real)
+        shared += most.sum() - missing[:, None] - missing[None, :]
+        who, which = np.nonzero(lacks)
+        member = np.concatenate([member[~inside], who])
+        gram = np.concatenate([gram[~inside], which + len(spread)])
     order = np.argsort(gram, kind="stable")
     member, gram = member[order], gram[order]
     first = np.flatnonzero(np.diff(gram, prepend=-1))
     spread = np.diff(first, append=len(gram))
-    shared = np.zeros((n, n), np.int64)
-    for df in range(2, min(16, n + 1)):
-        at = first[spread == df]
-        if len(at):
-            who = member[at[:, None] + np.arange(df)]
-            for i in range(df):
-                for j in range(i + 1, df):
-                    pairs = who[:, i] * n + who[:, j]
-                    shared += np.bincount(pairs, minlength=n * n).reshape(n, n)
-    often = np.flatnonzero(spread >= 16)
-    for low in range(0, len(often), 4096):
-        some = often[low : low + 4096]
-        dense = np.zeros((n, len(some)), np.float32)
-        for column, at in enumerate(some):
-            dense[member[first[at] : first[at] + spread[at]], column] = 1
-        shared += np.triu(dense @ dense.T, 1).astype(np.int64)
-    return shared + shared.T
-
-
-def _roots(n: int, links: np.ndarray, ids: list[int]) -> list[int]:
+    few = max(2, min(8, n // 8))
+    for df in range(2, few):
+        who = member[first[spread == df][:, None] + np.arange(df)]
+        pairs = [who[:, i] * n + who[:, j] for i in range(df) for j in range(df) if i != j]
+        shared += np.bincount(np.concatenate(pairs), minlength=n * n).reshape(n, n)
+    often = np.flatnonzero(spread >= few)
+    step = max(64, (1 << 22) // n)
+    for low in range(0, len(often), step):
+        some = often[low : low + step]
+        lengths = spread[some]
+        dense = np.zeros((n, len(some)), real)
+        at = np.repeat(first[some], lengths) + (
+            np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        )
+        dense[member[at], np.repeat(np.arange(len(some)), lengths)] = 1
+        shared += dense @ dense.T
+    return shared
+
+
+def _roots(links: np.ndarray, ids: np.ndarray) -> list[int]:
     """The smallest id in each node's component of a small graph."""
     root = np.array(ids)
     while True:
-        reach = np.where(links, root[None, :], np.iinfo(np.int64).max).min(1, initial=root.max())
+        reach = np.where(links, root[None, :], np.iinfo(np.int64).max).min(1)
         lower = np.minimum(root, reach)
         if (lower == root).all():
             return root.tolist()
         root = lower
 
 
-def _check_tile(rows: list[dict], size: int, threshold: float) -> list[tuple[int, int, int]]:
-    """(class, documents linked with it in this tile, smallest class of its neighbourhood)."""
-    seen: dict[bytes, tuple[dict, np.ndarray]] = {}
-    for row in rows:
-        if row["key"] not in seen:
-            grams = shingles(row["text"], size)
-            if set_key(grams) == row["key"]:  # else another row's text under one doc_id
-                seen[row["key"]] = row, grams
-    if len(seen) < 2:
+class _Part:
+    """Classes of a bucket with their shingle sets."""
+
+    def __init__(self, classes, n_docs, bands, grams: list[np.ndarray]):
+        self.classes = np.asarray(classes, np.int64)
+        self.n_docs = np.asarray(n_docs, np.int64)
+        self.bands = np.asarray(bands, np.int64).reshape(len(self.classes), -1)
+        self.grams = grams
+
+    @staticmethod
+    def joined(parts: list[_Part]) -> _Part:
+        return _Part(
+            np.concatenate([p.classes for p in parts]), np.concatenate([p.n_docs for p in parts]),
+            np.concatenate([p.bands for p in parts]), [g for p in parts for g in p.grams],
+        )
+
+    def pack(self) -> bytes:
+        names, numbers = np.unique(np.concatenate(self.grams), return_inverse=True)
+        sizes = np.array([len(g) for g in self.grams], np.int64)
+        head = np.array([len(self.classes), self.bands.shape[1], len(names)], np.int64)
+        raw = b"".join(a.tobytes() for a in (
+            head, self.classes, self.n_docs, self.bands, sizes, names, numbers.astype(np.uint32),
+        ))
+        return len(raw).to_bytes(8, "little") + _codec().compress(raw, asbytes=True)
+
+    @staticmethod
+    def unpack(data: bytes) -> _Part:
+        raw = _codec().decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
+        values = np.frombuffer(raw[: len(raw) // 8 * 8], np.int64)
+        n, bands, names = values[:3].tolist()
+        ends = np.cumsum([3, n, n, n * bands, n, names])
+        classes, docs, codes, sizes, dictionary = np.split(values[: ends[-1]], ends[:-1])[1:]
+        numbers = np.frombuffer(raw, np.uint32, int(sizes.sum()), 8 * int(ends[-1]))
+        grams = dictionary.view(np.uint64)[numbers]
+        return _Part(classes, docs, codes, np.split(grams, np.cumsum(sizes)[:-1]))
+
+
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", 1)
+
+
+def _check(
+    part: _Part, band: int, threshold: float, left: int | None = None
+) -> list[tuple[int, int, int]]:
+    """(class, documents linked with it here, smallest class of its neighbourhood). With
+    ``left``, only pairs between the first ``left`` classes and the others."""
+    n = len(part.classes)
+    if n < 2:
         return []
-    kept, sets = zip(*seen.values())
-    bands = np.array([r["bands"] for r in kept])
-    part = np.array([r["part"] for r in kept])
-    number, low, high = kept[0]["band"], kept[0]["low"], kept[0]["high"]
-    sizes = np.array([len(s) for s in sets])
-    shared = shared_counts(list(sets))
-    linked = shared >= threshold * (sizes[:, None] + sizes[None, :] - shared) - 1e-9
-    if low != high:
-        linked &= part[:, None] != part[None, :]
-    for earlier in range(number):
-        linked &= bands[:, earlier, None] != bands[None, :, earlier]
-    np.fill_diagonal(linked, False)
+    wanted = ~np.eye(n, dtype=bool)
+    if left is not None:
+        wanted[:left, :left] = wanted[left:, left:] = False
+    for earlier in range(band):
+        wanted &= part.bands[:, earlier, None] != part.bands[None, :, earlier]
+    if not wanted.any():
+        return []
+    shared = shared_counts(part.grams)
+    sizes = np.array([len(g) for g in part.grams], shared.dtype)
+    total = sizes[:, None] + sizes[None, :]
+    close = np.triu(wanted & (shared >= threshold * (total - shared) - 1e-6 * total), 1)
+    # Counts are exact; the quotient at the threshold is decided in doubles.
+    a, b = np.nonzero(close)
+    common, total = shared[a, b].astype(float), sizes[a].astype(float) + sizes[b]
+    sure = common >= threshold * (total - common) - 1e-9
+    linked = np.zeros((n, n), bool)
+    linked[a[sure], b[sure]] = linked[b[sure], a[sure]] = True
     if not linked.any():
         return []
-    ids = [r["class"] for r in kept]
-    copies = np.array([r["n_docs"] for r in kept])
-    counts = linked @ copies
+    counts = linked.astype(np.float64) @ part.n_docs.astype(np.float64)
+    roots = _roots(linked, part.classes)
     return [
-        (node, int(n), root)
-        for node, n, root in zip(ids, counts, _roots(len(ids), linked, ids)) if n
+        (node, int(count), root)
+        for node, count, root in zip(part.classes.tolist(), counts, roots) if count
     ]
 
 
-def _verify(tiles: DataFrame, size: int, threshold: float) -> DataFrame:
-    place = ["bucket", "low", "high"]
+def _found_batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, kinds[kind]) for c, (_, kind) in zip(columns, fields)],
+        [name for name, _ in fields],
+    )
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Neighbouring rows with equal keys, one group at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
+        turns = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1
+        for low, high in zip([0, *turns.tolist()], [*turns.tolist(), batch.num_rows]):
+            spot = tuple(marks[:, low].tolist())
+            if held and spot != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(low, high - low))
+            last = spot
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _part_of(rows: pa.Table) -> _Part:
+    # Rows that share a doc_id and the text are one class.
+    keys = rows.column("key").to_pylist()
+    if len(set(keys)) < len(keys):
+        rows = rows.take(pa.array(sorted({key: i for i, key in enumerate(keys)}.values())))
+    grams = [np.frombuffer(g.as_py(), np.uint64) for g in rows.column("grams")]
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy()
+    return _Part(
+        rows.column("class").to_numpy(), rows.column("n_docs").to_numpy(), bands, grams
+    )
+
+
+def _verify_parts(rows: DataFrame, threshold: float) -> DataFrame:
+    """Links inside every part, and the parts of buckets that have more than one, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
-        found: list[tuple[int, int, int]] = []
+        found: list[tuple] = []
+        for group in _groups(batches, ["bucket", "part"]):
+            part = _part_of(group)
+            bucket, band, number, parts = (
+                group.column(c)[0].as_py() for c in ("bucket", "band", "part", "parts")
+            )
+            nothing = (None,) * 5
+            found += [(*row, *nothing) for row in _check(part, band, threshold)]
+            if parts > 1:
+                found.append((None, None, None, bucket, band, number, parts, part.pack()))
+            if len(found) >= 1000 or parts > 1:
+                yield _found_batch(PACKED, found)
+                found = []
+        yield _found_batch(PACKED, found)
+        release_memory()
 
-        def batch_of() -> pa.RecordBatch:
-            columns = list(zip(*found)) if found else [()] * 3
-            arrays = [pa.array(c, pa.int64()) for c in columns]
-            return pa.RecordBatch.from_arrays(arrays, ["class", "links", "root"])
+    place = ["bucket", "part"]
+    tasks = task_count(rows.sparkSession)
+    dealt = rows.repartition(tasks, *place).sortWithinPartitions(*place)
+    return dealt.mapInArrow(run, PACKED)
 
-        for batch in batches:
-            spots = list(zip(*(batch.column(c).to_pylist() for c in place)))
-            for i, spot in enumerate(spots):
-                if spot != at:
-                    found += _check_tile(rows, size, threshold) if len(rows) > 1 else []
-                    at, rows = spot, []
-                rows.append(batch.slice(i, 1).to_pylist()[0])
-            yield batch_of()
-            found = []
-        found += _check_tile(rows, size, threshold) if len(rows) > 1 else []
-        yield batch_of()
-
-    tasks = task_count(tiles.sparkSession)
-    dealt = tiles.repartition(tasks, *place).sortWithinPartitions(*place)
+
+def _verify_pairs(packs: DataFrame, threshold: float) -> DataFrame:
+    """Links between every two parts of a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["bucket", "low", "high"]):
+            if group.num_rows == 2:
+                parts = [_Part.unpack(data.as_py()) for data in group.column("packed")]
+                both = _Part.joined(parts)
+                band = group.column("band")[0].as_py()
+                yield _found_batch(FOUND, _check(both, band, threshold, len(parts[0].classes)))
+        release_memory()
+
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    met = packs.select("bucket", "band", "part", "packed", others).filter("part <> other")
+    met = met.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
+    place = ["bucket", "low", "high"]
+    tasks = task_count(packs.sparkSession)
+    dealt = met.repartition(tasks, *place).sortWithinPartitions(*place, "part")
     return dealt.mapInArrow(run, FOUND)
 
 
@@ -236,7 +395,7 @@ def _verify(tiles: DataFrame, size: int, threshold: float) -> DataFrame:
 
 def link_counts(
     docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD, recall: float = RECALL,
-    rows: int = ROWS, tile: int = TILE,
+    rows: int = ROWS, part: int = PART,
 ) -> DataFrame:
     """(doc_id, class_id, n_copies, n_links, group_id), one row per document.
 
@@ -252,11 +411,16 @@ def link_counts(
     classes = materialize(classes, "classes")
     firsts = able.join(classes.withColumnRenamed("class", "doc_id"), ["key", "doc_id"])
     firsts = firsts.dropDuplicates(["key"]).withColumnRenamed("doc_id", "class")
-    firsts = materialize(firsts.select("class", "key", "n_docs", "bands"), "class-bands")
-    tiles = materialize(_tiles(firsts, tile), "tiles")
-    texts = docs.select(F.col("doc_id").cast("long").alias("class"), text_column().alias("text"))
-    full = tiles.join(firsts, "class").join(texts, "class")
-    found = materialize(_verify(full, size, threshold), "links")
+    firsts = materialize(firsts.select("class", "key", "n_docs", "n_shingles", "bands"), "class-bands")
+    buckets = materialize(_buckets(firsts, part), "buckets")
+    shared = firsts.join(buckets.select("class").distinct(), "class", "left_semi")
+    grams = materialize(_shingled(shared, docs, size), "grams")
+    checked = _verify_parts(buckets.join(grams, "class"), threshold)
+    checked = materialize(checked, "links")
+    inside = checked.filter("class IS NOT NULL").select("class", "links", "root")
+    packs = checked.filter("class IS NULL").select("bucket", "band", "part", "parts", "packed")
+    between = materialize(_verify_pairs(packs, threshold), "links")
+    found = inside.unionByName(between)
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     groups = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
     known = (
