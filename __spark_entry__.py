@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
-from functools import reduce
-from operator import and_
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -29,7 +28,7 @@ from tickerloom.operators.ema import add_emas, add_macd
 from tickerloom.operators.indicators import add_features, with_indicators
 from tickerloom.operators.side_features import add_side_features, winsorized_bars
 from tickerloom.operators.silhouette import silhouette_exact, silhouette_squared
-from tickerloom.params import BAR_COLUMNS, RISK_LABELS, Params
+from tickerloom.params import BAR_COLUMNS, Params
 from tickerloom.plans import pipeline
 from tickerloom.sources import raw as rawio
 from tickerloom.sources import tables
@@ -53,6 +52,13 @@ FIVE_YEARS = replace(
     universe=("BRAND#1", "BRAND#3", "BRAND#7", "BRAND#12", "BRAND#21"),
 )
 SCENARIO_CHOICES = {"momentum_14d": (-0.1, 0.0, 0.1), "rsi_binned": (0.0, 1.0, 2.0)}
+# For models with a truth: labels follow a rule on two of three predictors (``_planted``).
+PLANTED = replace(
+    PARAMS, forest_trees=40, forest_min_leaf=1, boost_rounds=20, boost_rate=0.5,
+    model_columns=("ma_cross_signal", "day_of_week", "return_lag_10"),
+)
+PLANTED_CHOICES = {"day_of_week": (2.0, 4.0, 6.0), "return_lag_10": (-0.05, 0.0, 0.05)}
+BUCKETS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -160,6 +166,52 @@ def _train_test(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return classify.split_rows(splits.ml_rows(_features(spark, sf), PARAMS), PARAMS)
 
 
+# Planted truth: the given bars' features, with profiles in four groups by the brand number and
+# a forward return whose sign follows a rule on two predictors. SQL states what models must find.
+
+
+def _group(number: Column, *values: float) -> Column:
+    """The value of the number's group, with a small step by the number."""
+    step = (number % 7) / F.lit(1000.0)
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (number % 4 + 1).cast("int")) + step
+
+
+def _profile_values(number: Column) -> dict[str, Column]:
+    """Four groups, from least to most risk."""
+    return {
+        "annualised_return": _group(number, 0.1, 0.2, 0.3, 0.4),
+        "volatility": _group(number, 0.1, 0.4, 0.9, 2.0),
+        "sharpe_ratio": _group(number, 2.0, 1.0, 0.5, -1.0),
+        "beta": _group(number, 0.2, 0.8, 1.5, 3.0),
+    }
+
+
+def _number() -> Column:
+    return F.regexp_extract("ticker", r"(\d+)$", 1).cast("int")
+
+
+def _planted(spark: SparkSession, sf: str) -> DataFrame:
+    values = _profile_values(_number())
+    rises = (F.col("ma_cross_signal") < 0) & (F.col("day_of_week") <= 4)
+    change = F.when(F.col("forward_return").isNotNull(), F.when(rises, 0.01).otherwise(-0.01))
+    daily = values.pop("annualised_return") / F.lit(PARAMS.trading_days)
+    planted = {**values, "daily_return": daily, "forward_return": change}
+    return materialize(_features(spark, sf).withColumns(planted), "planted")
+
+
+def _planted_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(profile.ticker_profile(_planted(spark, sf), PLANTED), "profile")
+
+
+def _planted_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return classify.split_rows(splits.ml_rows(_planted(spark, sf), PLANTED), PLANTED)
+
+
+def _planted_forest(spark: SparkSession, sf: str):
+    train, test = _planted_split(spark, sf)
+    return train, test, classify.fit_contender(train, classify.FOREST, PLANTED)
+
+
 # --- output ---------------------------------------------------------------------------------
 
 
@@ -218,6 +270,34 @@ def _csv_ingest(spark, sf):
     return rawio.ingest(spark, folder, cache, wide)
 
 
+def _cache_refresh(spark, sf):
+    """A cache that follows its folder: half the bars, then the other half under another header."""
+    bars = materialize(_bars(spark, sf), "bars").select(*BAR_COLUMNS)
+    early = F.dayofmonth("date") < 15
+    folder, cache = scratch_path(spark, "csv"), scratch_path(spark, "cache")
+    wide = replace(PARAMS, start=date(1900, 1, 1), end=date(2100, 1, 1))
+    tables.write_csv(bars.filter(early), folder)
+    rawio.ingest(spark, folder, cache, wide)
+    titled = bars.filter(~early).select(F.col("volume").alias("VOLUME "), *BAR_COLUMNS[:-1])
+    titled.write.mode("append").option("header", True).csv(folder)
+    return rawio.ingest(spark, folder, cache, wide)
+
+
+def _skipped_files(spark, sf):
+    """Rows of a table with one damaged file, and the list of such files."""
+    clean, path = _clean(spark, sf), scratch_path(spark, "damaged")
+    tables.write_by_ticker(clean, path)
+    spark.range(1).selectExpr("'no parquet'").write.text(f"{path}/ticker=damaged")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # the damage is wanted
+        readable = tables.read_by_ticker(spark, path, clean.schema, skip_corrupt=True)
+    skipped = tables.unreadable_files(spark, path)
+    folder = F.regexp_extract("file", "/(ticker=[^/]*)/", 1)
+    return readable.agg(F.count("*").alias("rows")).crossJoin(
+        skipped.agg(F.count("*").alias("skipped"), F.min(folder).alias("first"))
+    )
+
+
 def _raw_roundtrip(spark, sf):
     path = scratch_path(spark, "raw")
     rawio.write_raw(_bars(spark, sf).select(*BAR_COLUMNS), path)
@@ -235,18 +315,24 @@ def _bucketed_roundtrip(spark, sf):
     return tables.read_by_ticker(spark, path, clean.schema)
 
 
-def _features_csv(spark, sf):
-    features, path = _features(spark, sf), scratch_path(spark, "features-csv")
-    tables.write_csv(features, path)
-    return tables.read_csv(spark, path, features.schema)
+def _bucketed_features(spark, sf):
+    """Features of a table bucketed by ticker: nothing is shuffled by ticker."""
+    clean, path = _clean(spark, sf), scratch_path(spark, "bucketed")
+    tables.write_bucketed(clean, path, BUCKETS)
+    return add_features(tables.read_bucketed(spark, path, clean.schema, BUCKETS), PARAMS)
 
 
-# Fitted models follow no SQL. These queries fit and use them, and show what must hold of any
-# correct model as columns; the tests hold the models themselves against planted data.
+def _removed_rows(spark, sf):
+    """The counts that the cleaning stage writes beside its bars."""
+    folder = pipeline.Folder(scratch_path(spark, "run"))
+    pipeline.transform_stage(_trade_bars(spark, sf), folder, TIGHT, BUCKETS)
+    return pipeline.read_removed(spark, folder)
 
 
-def _between(column: str, low: float, high: float) -> Column:
-    return F.coalesce(F.col(column).between(low, high), F.lit(False))
+def _features_csv(spark, sf):
+    features, path = _features(spark, sf), scratch_path(spark, "features-csv")
+    tables.write_csv(features, path)
+    return tables.read_csv(spark, path, features.schema)
 
 
 def _model_roundtrip(spark, sf):
@@ -283,7 +369,6 @@ def _run_summary(spark, sf):
         F.col("clustering.silhouette_metric").alias("silhouette_metric"),
         sizes.alias("tickers_in_clusters"),
         F.col("return_prediction.forward_days").alias("forward_days"),
-        F.col("return_prediction.accuracy").between(0, 1).alias("accuracy_in_range"),
     )
     counts = removed.select("rows_in", "null_rows", "duplicate_rows")
     swept = pipeline.read_sweep(spark, folder).agg(F.count_if("is_best").alias("best_k"))
@@ -302,47 +387,37 @@ def _profile_table(spark, sf):
 
 
 def _kmeans_clusters(spark, sf):
-    """Every ticker with its average behaviour and whether it got a cluster and a risk label."""
-    found = clustering.cluster_profiles(_profile_table(spark, sf), PARAMS).profile
-    labels = [label for label, _ in RISK_LABELS]
-    return found.select(
-        "ticker", "annualised_return", "trading_days",
-        F.col("cluster_id").between(0, PARAMS.clusters - 1).alias("clustered"),
-        F.col("cluster_label").isin(*labels).alias("labelled"),
-    )
+    found = clustering.cluster_profiles(_planted_profile(spark, sf), PLANTED).profile
+    return found.select("ticker", "cluster_label", "cluster_color")
 
 
 def _predict_cluster(spark, sf):
-    """Every ticker, and whether the fitted model labels it as the fit did."""
-    table = _profile_table(spark, sf)
-    fitted = clustering.cluster_profiles(table, PARAMS)
-    again = clustering.predict_clusters(table, fitted.model, fitted.ranking)
-    own = fitted.profile.select("ticker", F.col("cluster_label").alias("own"))
-    return again.join(own, "ticker").select(
-        "ticker", F.col("cluster_label").eqNullSafe(F.col("own")).alias("agrees")
+    """The labels of new tickers, each with the profile of the next number's group."""
+    known = _planted_profile(spark, sf)
+    fitted = clustering.cluster_profiles(known, PLANTED)
+    new = known.withColumns(_profile_values(_number() + 1)).withColumn(
+        "ticker", F.concat(F.lit("new "), "ticker")
     )
+    labelled = clustering.predict_clusters(new, fitted.model, fitted.ranking)
+    return labelled.select("ticker", "cluster_label")
 
 
 def _k_sweep(spark, sf):
-    """Every swept k, whether its score is one, and whether the best is marked as the rule says."""
-    found = clustering.sweep_clusters(_profile_table(spark, sf), PARAMS)
-    best = found.agg(F.max("silhouette").alias("top"))
-    first = found.crossJoin(best).filter("silhouette = top").agg(F.min("k").alias("rule"))
-    return found.crossJoin(first).select(
-        "k", "metric", _between("silhouette", -1, 1).alias("in_range"),
-        (F.col("is_best") == (F.col("k") == F.col("rule"))).alias("marked_by_rule"),
+    """Every swept k, the best, and the score of the planted number of groups."""
+    found = clustering.sweep_clusters(_planted_profile(spark, sf), PLANTED)
+    return found.select(
+        "k", "metric", "is_best", F.when(F.col("k") == 4, F.col("silhouette")).alias("silhouette")
     )
 
 
 def _clustering_stage(spark, sf):
-    """How many tickers the labels of the stage cover, and its sweep."""
-    found = pipeline.clustering_stage(_features(spark, sf), PARAMS)
-    sizes = profile.label_report(found.profile).agg(
-        F.sum("tickers").alias("tickers"), F.count("*").alias("labels")
-    )
-    return sizes.crossJoin(found.sweep.agg(F.count("*").alias("swept"))).withColumns({
+    """The stage's tickers by label, its score and the best of its sweep."""
+    found = pipeline.clustering_stage(_planted(spark, sf), PLANTED)
+    best = found.sweep.filter("is_best").select(F.col("k").alias("best_k"))
+    return profile.label_report(found.profile).select("cluster_label", "tickers").withColumns({
         "metric": F.lit(found.silhouette_metric),
-        "in_range": F.lit(-1 <= found.silhouette <= 1),
+        "silhouette": F.lit(round(found.silhouette, 4)),
+        "best_k": best.scalar(),
     })
 
 
@@ -360,63 +435,43 @@ def _silhouette_fast(spark, sf):
 
 def _fit(name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        train, test = _train_test(spark, sf)
-        model = classify.fit_contender(train, name, PARAMS)
-        report = metrics.classification_report(model.transform(test))
-        ranged = [_between(c, 0, 1) for c in ("precision", "recall", "f1_score", "accuracy")]
-        return report.select("scope", "support", reduce(and_, ranged).alias("in_range"))
+        train, test = _planted_split(spark, sf)
+        model = classify.fit_contender(train, name, PLANTED)
+        return metrics.classification_report(model.transform(test))
 
     return run
 
 
 def _tournament(spark, sf):
-    """The contenders, and whether the winner is the one the rule names."""
-    results = classify.tournament(*_train_test(spark, sf), PARAMS)[0]
-    rows = results.collect()  # one row per contender
-    top = max(rows, key=lambda r: (r.accuracy, -r.priority)).contender
-    winner = metrics.pick_winner(results).first().contender
-    return results.select(
-        "contender", "priority", _between("accuracy", 0, 1).alias("accuracy_in_range"),
-        _between("f1_score", 0, 1).alias("f1_in_range"), F.lit(winner == top).alias("by_rule"),
-    )
+    """The contenders' scores, and the winner."""
+    results = classify.tournament(*_planted_split(spark, sf), PLANTED)[0]
+    winner = metrics.pick_winner(results).select(F.col("contender").alias("winner"))
+    return results.withColumn("winner", winner.scalar())
 
 
 def _cv_accuracy(spark, sf):
-    """Whether the mean and the spread over the folds are possible ones."""
-    train, _ = _train_test(spark, sf)
-    mean, deviation = classify.cross_validate(train, classify.FOREST, PARAMS)
+    """Mean and spread of the accuracy over the folds, beside the rows of the classes."""
+    train, _ = _planted_split(spark, sf)
+    mean, deviation = classify.cross_validate(train, classify.FOREST, PLANTED)
     return train.groupBy("is_profitable").agg(F.count("*").alias("rows")).withColumns({
-        "mean_in_range": F.lit(0 <= mean <= 1), "spread_in_range": F.lit(0 <= deviation <= 0.5),
+        "mean_accuracy": F.lit(mean), "spread": F.lit(deviation),
     })
 
 
 def _feature_importances(spark, sf):
-    """The predictors, and whether their importances are ordered shares of one."""
-    train, _ = _train_test(spark, sf)
-    model = classify.fit_contender(train, classify.FOREST, PARAMS)
-    found = classify.feature_importances(model, train, PARAMS)
-    values = [r.importance for r in found.collect()]  # one row per predictor
-    return found.select(
-        "feature", _between("importance", 0, 1).alias("in_range"),
-        F.lit(abs(sum(values) - 1) < 1e-9).alias("sums_to_one"),
-        F.lit(values == sorted(values, reverse=True)).alias("ordered"),
-    )
-
-
-def _consistent(scored: DataFrame, *keys: str) -> DataFrame:
-    """Keys, and whether class and probability belong together."""
-    up = F.when(F.col("probability_up") > 0.5, 1.0).otherwise(0.0)
-    follows = (F.col("prediction") == up) | (F.col("probability_up") == 0.5)
-    return scored.select(
-        *keys, follows.alias("class_follows"), _between("probability_up", 0, 1).alias("in_range")
-    )
+    """The predictors and the places of the two that the labels follow."""
+    train, _, model = _planted_forest(spark, sf)
+    found = classify.feature_importances(model, train, PLANTED)
+    first, second = [row.feature for row in found.limit(2).collect()]  # most important first
+    place = F.when(F.col("feature") == first, 1).when(F.col("feature") == second, 2)
+    return found.select("feature", place.alias("place"))
 
 
 def _score_batch(spark, sf):
-    train, test = _train_test(spark, sf)
-    model = classify.fit_contender(train, classify.FOREST, PARAMS)
+    """Predictions of the test rows, which lack a predictor that does not matter."""
+    _, test, model = _planted_forest(spark, sf)
     partial = test.drop("return_lag_10")
-    return _consistent(classify.score_rows(partial, model, PARAMS), "ticker", "date")
+    return classify.score_rows(partial, model, PLANTED).select("ticker", "date", "prediction")
 
 
 def _scenario_grid(spark, sf):
@@ -425,25 +480,18 @@ def _scenario_grid(spark, sf):
 
 
 def _scenario_scores(spark, sf):
-    features = materialize(_features(spark, sf), "features")
-    train, _ = classify.split_rows(splits.ml_rows(features, PARAMS), PARAMS)
-    model = classify.fit_contender(train, classify.FOREST, PARAMS)
-    latest = scenarios.latest_rows(features)
-    grid = scenarios.scenario_rows(latest, SCENARIO_CHOICES, PARAMS)
-    scored = classify.score_rows(grid, model, PARAMS)
-    return _consistent(scored, "ticker", "date", *SCENARIO_CHOICES)
+    features = _planted(spark, sf)
+    train, _ = classify.split_rows(splits.ml_rows(features, PLANTED), PLANTED)
+    model = classify.fit_contender(train, classify.FOREST, PLANTED)
+    grid = scenarios.scenario_rows(scenarios.latest_rows(features), PLANTED_CHOICES, PLANTED)
+    scored = classify.score_rows(grid, model, PLANTED)
+    return scored.select("ticker", "date", *PLANTED_CHOICES, "prediction")
 
 
 def _prediction_stage(spark, sf):
-    """The stage's counts and baseline, and whether its other ratios are possible ones."""
-    found = pipeline.prediction_stage(_features(spark, sf), PARAMS)
-    shown = pipeline.prediction_metrics(found, spark, PARAMS)
-    ranged = [_between(c, 0, 1) for c in ("accuracy", "f1_score", "cv_accuracy")]
-    return shown.select(
-        F.col("winning_model").isin(*classify.CONTENDERS).alias("known_winner"),
-        reduce(and_, ranged).alias("in_range"),
-        "baseline_accuracy", "n_train", "n_test", "forward_days",
-    )
+    """The stage's metrics."""
+    found = pipeline.prediction_stage(_planted(spark, sf), PLANTED)
+    return pipeline.prediction_metrics(found, spark, PLANTED)
 
 
 # --- queries: model rows and metrics --------------------------------------------------------------
@@ -508,6 +556,8 @@ _QUERIES: dict[str, Query] = {
     "normalize_columns": _normalize_columns,
     "union_sources": _union_sources,
     "csv_ingest": _csv_ingest,
+    "cache_refresh": _cache_refresh,
+    "skipped_files": _skipped_files,
     "coerce_raw": lambda s, d: rawio.coerce_raw(_text_bars(s, d), missing_volume=0),
     "coerce_dates": lambda s, d: rawio.coerce_raw(
         _dated_bars(s, d), date_formats=PARAMS.date_formats
@@ -520,6 +570,7 @@ _QUERIES: dict[str, Query] = {
     "raw_roundtrip": _raw_roundtrip,
     "clean_roundtrip": _clean_roundtrip,
     "bucketed_roundtrip": _bucketed_roundtrip,
+    "bucketed_features": _bucketed_features,
     "features_csv": _features_csv,
     "bars_from_trades": _bars,
     # cleaning
@@ -541,6 +592,7 @@ _QUERIES: dict[str, Query] = {
     "sorted_layout": _bar_query(cl.arrange_by_ticker, "close"),
     "preview": lambda s, d: cl.preview(_clean(s, d)),
     # quality
+    "removed_rows": _removed_rows,
     "drop_report": lambda s, d: quality.drop_report(_trade_bars(s, d), TIGHT),
     "audit": lambda s, d: quality.audit(_audit_input(s, d)),
     "audit_tickers": lambda s, d: quality.audit_tickers(_audit_input(s, d)),

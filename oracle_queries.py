@@ -122,6 +122,37 @@ CTES: dict[str, str] = {
         select *, case when rsi < 50 then 1 else 0 end as prediction,
                case when ma_cross_signal < 0 then 1 else 0 end as trend_prediction
         from split where is_test = 1""",
+    # models with a truth: a rule on two predictors, and four groups of profiles
+    "planted_rows": """
+        select ticker, date, ma_cross_signal, day_of_week, return_lag_10,
+               case when ma_cross_signal < 0 and day_of_week <= 4 then 1 else 0 end as is_profitable
+        from features
+        where forward_return is not null and ma_cross_signal is not null
+          and day_of_week is not null and return_lag_10 is not null""",
+    "planted_split": """
+        select *, case when row_number() over (order by date, md5(ticker), ticker)
+                       <= floor(count(*) over () * cast(0.8 as double)) then 0 else 1 end as is_test
+        from planted_rows""",
+    "planted_groups": """
+        select ticker, n % 4 as g,
+               [0.1, 0.2, 0.3, 0.4][n % 4 + 1]::double + (n % 7) / 1000.0::double as x1,
+               [0.1, 0.4, 0.9, 2.0][n % 4 + 1]::double + (n % 7) / 1000.0::double as x2,
+               [2.0, 1.0, 0.5, -1.0][n % 4 + 1]::double + (n % 7) / 1000.0::double as x3,
+               [0.2, 0.8, 1.5, 3.0][n % 4 + 1]::double + (n % 7) / 1000.0::double as x4
+        from (select distinct ticker, cast(regexp_extract(ticker, '([0-9]+)$', 1) as integer) as n
+              from features)""",
+    "planted_scaled": """
+        select ticker, g, x1 / stddev_samp(x1) over () as y1, x2 / stddev_samp(x2) over () as y2,
+               x3 / stddev_samp(x3) over () as y3, x4 / stddev_samp(x4) over () as y4
+        from planted_groups""",
+    "planted_score": """
+        select avg((nearest - within) / greatest(nearest, within)) as silhouette from (
+          select ticker, min(d) filter (g = own) as within, min(d) filter (g <> own) as nearest
+          from (select a.ticker, a.g as own, b.g, avg(sqrt(
+                  (a.y1 - b.y1) ** 2 + (a.y2 - b.y2) ** 2
+                  + (a.y3 - b.y3) ** 2 + (a.y4 - b.y4) ** 2)) as d
+                from planted_scaled a join planted_scaled b on a.ticker <> b.ticker group by all)
+          group by ticker)""",
     # inputs with planted faults
     "trade_bars": """
         select date, ticker, price as open, price as high, price as low,
@@ -182,6 +213,9 @@ NEEDS = {
     "benched": ("clean",), "stats": ("benched",), "framed": ("benched", "stats"),
     "features": ("framed",), "profile": ("features",), "ml_rows": ("features",),
     "split": ("ml_rows",), "test_rows": ("split",),
+    "planted_rows": ("features",), "planted_split": ("planted_rows",),
+    "planted_groups": ("features",), "planted_scaled": ("planted_groups",),
+    "planted_score": ("planted_scaled",),
     "trade_bars": ("trades",), "text_bars": ("trades",), "typed": ("text_bars",),
     "survivors": ("trade_bars",), "survivor_returns": ("survivors",), "faulty": ("clean",),
     "numbered": ("clean",), "clipped": ("clean",),
@@ -572,67 +606,84 @@ def build() -> dict[str, str]:
              (values (-0.1), (0.0), (0.1)) as momenta(m),
              (values (0.0), (1.0), (2.0)) as states(b)""")
 
-    # what must hold of any correct model
+    # models: what they must find
     sql["model_roundtrip"] = query(
         "select count(*) AS rows, cast(0 as bigint) AS differing from test_rows"
     )
     sql["kmeans_clusters"] = query(
-        f"select ticker, {r6('annualised_return')}, trading_days, true AS clustered, "
-        "true AS labelled from profile"
+        f"select ticker, cluster_label, cluster_color from planted_groups join {LABELS} "
+        "on risk_rank = g"
+    )
+    sql["predict_cluster"] = query(
+        f"select 'new ' || ticker AS ticker, cluster_label from planted_groups join {LABELS} "
+        "on risk_rank = (g + 1) % 4"
     )
-    sql["predict_cluster"] = query("select ticker, true AS agrees from profile")
-    swept = "(values (2), (3), (4), (5), (6), (7)) as swept(k)"
     sql["k_sweep"] = query(
-        "select k, 'euclidean' AS metric, true AS in_range, true AS marked_by_rule "
-        f"from {swept} where k < (select count(*) from profile)"
+        "select k, 'euclidean' AS metric, k = 4 AS is_best, "
+        "case when k = 4 then round((select silhouette from planted_score), 4) end AS silhouette "
+        "from (values (2), (3), (4), (5), (6), (7)) as swept(k) "
+        "where k < (select count(*) from planted_groups)"
     )
     sql["clustering_stage"] = query(
-        "select cast((select count(*) from profile) as bigint) AS tickers, "
-        "cast(4 as bigint) AS labels, count(*) AS swept, 'euclidean' AS metric, true AS in_range "
-        f"from {swept} where k < (select count(*) from profile)"
+        "select cluster_label, (select count(*) from planted_groups where g = risk_rank) AS tickers, "
+        "'euclidean' AS metric, round((select silhouette from planted_score), 4) AS silhouette, "
+        f"4 AS best_k from {LABELS}"
     )
     sql["rf_fit"] = sql["gbt_fit"] = query("""
-        select scope, support, true AS in_range from (
+        select scope, cast(1 as double) AS precision, cast(1 as double) AS recall,
+               cast(1 as double) AS f1_score, cast(1 as double) AS accuracy, support from (
           select cast(is_profitable as varchar) as scope, count(*) as support
-          from test_rows group by 1
-          union all select 'macro avg', count(*) from test_rows
-          union all select 'weighted avg', count(*) from test_rows)""")
+          from planted_split where is_test = 1 group by 1
+          union all select 'macro avg', count(*) from planted_split where is_test = 1
+          union all select 'weighted avg', count(*) from planted_split where is_test = 1)""")
     sql["tournament"] = """
-        select contender, cast(priority as integer) AS priority, true AS accuracy_in_range,
-               true AS f1_in_range, true AS by_rule
+        select contender, cast(priority as integer) AS priority, cast(1 as double) AS accuracy,
+               cast(1 as double) AS f1_score, 'Random Forest Classifier' AS winner
         from (values ('Random Forest Classifier', 0), ('Gradient Boosting Classifier', 1))
              as t(contender, priority)"""
     sql["cv_accuracy"] = query("""
-        select is_profitable, count(*) AS rows, true AS mean_in_range, true AS spread_in_range
-        from split where is_test = 0 group by 1""")
-    sql["feature_importances"] = (
-        "select feature, true AS in_range, true AS sums_to_one, true AS ordered from (values "
-        + ", ".join(f"('{c}')" for c in PREDICTORS) + ") as t(feature)"
-    )
+        select is_profitable, count(*) AS rows, cast(1 as double) AS mean_accuracy,
+               cast(0 as double) AS spread
+        from planted_split where is_test = 0 group by 1""")
+    sql["feature_importances"] = """
+        select feature, place
+        from (values ('ma_cross_signal', 1), ('day_of_week', 2), ('return_lag_10', null))
+             as t(feature, place)"""
     sql["score_batch"] = query(
-        f"select ticker, {DAY}, true AS class_follows, true AS in_range from test_rows"
+        f"select ticker, {DAY}, cast(is_profitable as double) AS prediction "
+        "from planted_split where is_test = 1"
     )
     sql["scenario_scores"] = query(f"""
-        select ticker, {DAY}, cast(m as double) AS momentum_14d, cast(b as double) AS rsi_binned,
-               true AS class_follows, true AS in_range
+        select ticker, {DAY}, cast(w as double) AS day_of_week, cast(r as double) AS return_lag_10,
+               cast(case when w <= 4 and not coalesce(ma_spread > 0, false) then 1 else 0 end
+                    as double) AS prediction
         from (select * from features
               qualify row_number() over (partition by ticker order by date desc) = 1),
-             (values (-0.1), (0.0), (0.1)) as momenta(m),
-             (values (0.0), (1.0), (2.0)) as states(b)""")
+             (values (2.0), (4.0), (6.0)) as weekdays(w),
+             (values (-0.05), (0.0), (0.05)) as returns_before(r)""")
     sql["prediction_stage"] = query(f"""
-        select true AS known_winner, true AS in_range,
+        select 'Random Forest Classifier' AS winning_model, cast(1 as double) AS accuracy,
+               cast(1 as double) AS f1_score, cast(1 as double) AS cv_accuracy,
                round(avg(is_profitable) filter (is_test = 1), 4) AS baseline_accuracy,
                count(*) filter (is_test = 0) AS n_train, count(*) filter (is_test = 1) AS n_test,
                cast(10 as integer) AS forward_days
-        from split""")
+        from planted_split""")
     sql["run_summary"] = query("""
         select (select count(*) from profile) AS tickers_processed,
                cast(4 as integer) AS n_clusters, 'euclidean' AS silhouette_metric,
                (select count(*) from profile) AS tickers_in_clusters,
-               cast(10 as integer) AS forward_days, true AS accuracy_in_range,
+               cast(10 as integer) AS forward_days,
                (select count(*) from bars) AS rows_in, cast(0 as bigint) AS null_rows,
                cast(0 as bigint) AS duplicate_rows, cast(1 as bigint) AS best_k,
                (select count(*) from test_rows) AS test_rows""")
+    sql["cache_refresh"] = query(
+        f"select {BAR_LIST.replace('ticker', 'upper(ticker) AS ticker', 1)} from bars"
+    )
+    sql["skipped_files"] = query(
+        "select count(*) AS rows, cast(1 as bigint) AS skipped, 'ticker=damaged' AS first from clean"
+    )
+    sql["bucketed_features"] = sql["features_all"]
+    sql["removed_rows"] = sql["drop_report"]
 
     # silhouettes
     pairs = """

@@ -6,6 +6,8 @@ from pathlib import Path
 import numpy as np
 import pytest
 from conftest import BAR_SCHEMA, day
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tickerloom.operators import classify, clustering, profile, scenarios, silhouette
@@ -134,6 +136,65 @@ def test_exact_silhouette_equals_brute_force(spark, block_rows):
     assert math.isclose(squared, brute_silhouette(vectors, labels, True).mean(), abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("block_rows", [7, 8192])
+def test_one_pass_scores_many_clusterings(spark, block_rows):
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(50, 2))
+    several = [rng.integers(0, k, size=50) for k in (2, 5, 7)]
+    several[2][several[2] == 3] = 4  # a cluster without points
+    rows = [
+        (f"p{i:02}", [int(c[i]) for c in several], v.tolist()) for i, v in enumerate(vectors)
+    ]
+    points = spark.createDataFrame(rows, "id string, clusters array<int>, vector array<double>")
+    found = silhouette.silhouettes(points, [2, 5, 7], block_rows).orderBy("id").collect()
+    for place, labels in enumerate(several):
+        expected = brute_silhouette(vectors, labels)
+        assert np.allclose([r.silhouettes[place] for r in found], expected)
+
+
+def test_swept_scores_are_the_exact_ones(spark, four_groups):
+    """One loop and one pass give every k the score of a clustering of its own."""
+    params = replace(SMALL, sweep=(2, 3, 4, 5))
+    swept = clustering.cluster_profiles(four_groups, params, sweep=True).sweep.collect()
+    for row in swept:
+        alone = clustering.sweep_clusters(four_groups, replace(params, sweep=(row.k,))).first()
+        assert (alone.k, alone.silhouette) == (row.k, row.silhouette)
+
+
+def test_restarts_reach_the_lowest_cost_of_separate_fits(spark, four_groups):
+    scaler = clustering.fit_scaler(four_groups)
+    scaled = scaler.transform(four_groups).cache()
+    vectors = scaled.select("ticker", vector_to_array("_scaled").alias("vector"))
+    wanted = [(k, seed) for k in (3, 4) for seed in range(6)]
+    found = clustering.fit_centers(vectors, wanted, 100)
+    for k in (3, 4):
+        own = min(c.cost for c in found if c.k == k)
+        fits = [
+            KMeans(featuresCol="_scaled", k=k, maxIter=100, seed=s).fit(scaled) for s in range(6)
+        ]
+        assert own <= min(m.summary.trainingCost for m in fits) * (1 + 1e-6)
+    model = clustering.as_model(next(c for c in found if c.k == 4).points, spark)
+    points = np.sort(np.array(model.clusterCenters()), axis=0)
+    assert np.allclose(points, np.sort(next(c for c in found if c.k == 4).points, axis=0))
+
+
+def test_one_job_per_round(spark, four_groups, monkeypatch):
+    rounds = []
+    once = clustering._round
+    monkeypatch.setattr(
+        clustering, "_round", lambda *args: rounds.append(len(args[1])) or once(*args)
+    )
+    clustering.cluster_profiles(four_groups, replace(SMALL, cluster_restarts=9), sweep=True)
+    assert rounds[0] == 9 + 2 * 2 and len(rounds) < 12  # all sets in every round, few rounds
+
+
+def test_equal_profiles_have_fewer_clusters(spark):
+    rows = [(f"T{i}", 1.0, 1.0, 1.0, 1.0) for i in range(5)] + [("X", 2.0, 2.0, 2.0, 2.0)]
+    found = clustering.cluster_profiles(spark.createDataFrame(rows, PROFILE_SCHEMA), SMALL)
+    ids = {r.ticker: r.cluster_id for r in found.profile.collect()}
+    assert len(set(ids.values())) == 2 and len({ids[f"T{i}"] for i in range(5)}) == 1
+
+
 @pytest.fixture(scope="module")
 def planted(spark):
     """Rows whose label follows one predictor."""
@@ -236,7 +297,10 @@ def test_pipeline_end_to_end(spark, tmp_path):
             row = (f"T{t}", day(d), price, price + 1, price - 1, price, rng.randrange(1, 99))
             rows += [row, row] if d % 9 == 0 else [row]
     raw = spark.createDataFrame(rows, BAR_SCHEMA)
+    scratch = Path(spark.conf.get("spark.checkpoint.dir")) / "tickerloom"
+    before = set(scratch.glob("*"))
     summary = pipeline.run_pipeline(raw, str(tmp_path / "run"), SMALL).first()
+    assert not set(scratch.glob("*")) - before  # the run removed what it needed on the way
     folder = pipeline.Folder(str(tmp_path / "run"))
     saved = pipeline.read_summary(spark, folder).first()
     assert saved == summary and saved.tickers_processed == 8
@@ -250,8 +314,6 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert sorted(r.k for r in swept) == [2, 3, 4] and sum(r.is_best for r in swept) == 1
     report = {r.scope: r.support for r in pipeline.read_report(spark, folder).collect()}
     assert report["macro avg"] == report["weighted avg"] > 0
-    scratch = Path(spark.conf.get("spark.checkpoint.dir")) / "tickerloom"
-    assert not list(scratch.glob("run-*/*"))
     features = spark.read.parquet(folder.features)
     assert set(features.columns) == set(SMALL.feature_columns) and features.count() == 8 * 120
     exported = spark.read.option("header", True).csv(folder.features_csv)

@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+import warnings
 from dataclasses import replace
 from types import SimpleNamespace
 
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators.cleaning import add_daily_return
 from tickerloom.params import Params
-from tickerloom.sources import raw, storage, tables
+from tickerloom.sources import manifests, raw, storage, tables
 from tickerloom.sources.trades import bars_from_trades
 
 WIDE = Params(universe=None, start=dt.date(1900, 1, 1), end=dt.date(2100, 1, 1))
@@ -91,14 +93,70 @@ def test_one_cache_serves_a_wider_request(spark, csv_folder, tmp_path):
     assert raw.ingest(spark, "/nowhere", cache, WIDE).count() == 5
 
 
-def test_refresh_reads_the_folder_again(spark, tmp_path):
+def closes(bars):
+    return sorted(r.close for r in bars.collect())
+
+
+def test_the_cache_follows_its_files(spark, tmp_path):
+    """An added, a changed and a removed file each show up, and nothing else is read again."""
+    folder, cache = tmp_path / "raw", str(tmp_path / "cache")
+    folder.mkdir()
+    for name, close in (("a", 1), ("b", 2), ("c", 3)):
+        (folder / f"{name}.csv").write_text(f"date,ticker,close\n2024-01-02,{name},{close}\n")
+    assert closes(raw.ingest(spark, str(folder), cache, WIDE)) == [1, 2, 3]
+    assert manifests.latest(spark, cache)[0] == 1
+    assert closes(raw.ingest(spark, str(folder), cache, WIDE)) == [1, 2, 3]
+    assert manifests.latest(spark, cache)[0] == 1  # nothing changed, nothing written
+    (folder / "d.csv").write_text("Close,Date,Name\n4,2024-01-03,d\n")
+    assert closes(raw.ingest(spark, str(folder), cache, WIDE)) == [1, 2, 3, 4]
+    version, files = manifests.latest(spark, cache)
+    by_file = {r.file.rsplit("/", 1)[1]: r.generation for r in files.collect()}
+    assert version == 2 and by_file == {"a.csv": 1, "b.csv": 1, "c.csv": 1, "d.csv": 2}
+    (folder / "a.csv").write_text("date,ticker,close\n2024-01-02,a,10\n2024-01-03,a,11\n")
+    (folder / "b.csv").unlink()
+    assert closes(raw.ingest(spark, str(folder), cache, WIDE)) == [3, 4, 10, 11]
+    assert closes(raw.ingest(spark, "/nowhere", cache, WIDE)) == [3, 4, 10, 11]
+    (folder / "c.csv").unlink()
+    assert closes(raw.ingest(spark, str(folder), cache, WIDE)) == [4, 10, 11]
+    assert closes(raw.ingest(spark, str(folder), cache, WIDE, refresh=True)) == [4, 10, 11]
+    assert {r.generation for r in manifests.latest(spark, cache)[1].collect()} == {5}
+
+
+def test_a_broken_run_leaves_the_cache_as_it_was(spark, tmp_path, monkeypatch):
     folder, cache = tmp_path / "raw", str(tmp_path / "cache")
     folder.mkdir()
     (folder / "a.csv").write_text("date,ticker,close\n2024-01-02,A,1\n")
-    assert raw.ingest(spark, str(folder), cache, WIDE).count() == 1
+    raw.ingest(spark, str(folder), cache, WIDE)
     (folder / "b.csv").write_text("date,ticker,close\n2024-01-03,A,2\n")
-    assert raw.ingest(spark, str(folder), cache, WIDE).count() == 1
-    assert raw.ingest(spark, str(folder), cache, WIDE, refresh=True).count() == 2
+    with monkeypatch.context() as broken:
+        broken.setattr(manifests, "commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            raw.ingest(spark, str(folder), cache, WIDE)
+    assert closes(raw.ingest(spark, "/nowhere", cache, WIDE)) == [1]
+    assert closes(raw.ingest(spark, str(folder), cache, WIDE)) == [1, 2]
+
+
+def test_many_headers_are_one_scan(spark, tmp_path):
+    names = ["date", "ticker", "close", "volume", *(f"extra{i}" for i in range(6))]
+    rng = random.Random(0)
+    for i in range(60):
+        order = rng.sample(names, len(names))
+        values = {"date": "2024-01-02", "ticker": f"t{i}", "close": str(i), "volume": f'"{i}"'}
+        line = ",".join(values.get(name, "x") for name in order)
+        header = ",".join(rng.choice([name.upper(), f" {name} "]) for name in order)
+        (tmp_path / f"f{i}.csv").write_text(f"\n{header}\n{line}\n\n")
+    table = raw.read_csv_folder(spark, str(tmp_path))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan text") == 1 and "Union" not in plan
+    bars = raw.load_bars(table, WIDE).collect()
+    assert {(r.ticker, r.close, r.volume) for r in bars} == {(f"T{i}", i, i) for i in range(60)}
+
+
+def test_headers_that_collide_in_a_file_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("date,close\n2024-01-02,1\n")
+    (tmp_path / "b.csv").write_text("date,Close,close \n2024-01-02,1,2\n")
+    with pytest.raises(ValueError, match="both mean 'close'"):
+        raw.read_csv_folder(spark, str(tmp_path))
 
 
 def test_dates_in_other_formats_are_kept_or_reported(spark, tmp_path):
@@ -176,10 +234,26 @@ def test_corrupt_files_can_be_skipped(spark, make_bars, tmp_path):
     bars = make_bars({"AAA": [1.0], "BBB": [2.0]})
     tables.write_by_ticker(bars, str(path))
     (path / "ticker=BBB" / "part-broken.parquet").write_bytes(b"not parquet at all")
-    back = tables.read_by_ticker(spark, str(path), bars.schema, skip_corrupt=True)
+    cut = next((path / "ticker=AAA").glob("*.parquet"))
+    (path / "ticker=AAA" / "part-cut.parquet").write_bytes(cut.read_bytes()[:-9])
+    (path / "ticker=AAA" / "part-empty.parquet").write_bytes(b"")  # no file to Spark
+    bad = {r.file.rsplit("/", 1)[1]: r.error for r in tables.unreadable_files(spark, str(path)).collect()}
+    assert set(bad) == {"part-broken.parquet", "part-cut.parquet"}
+    assert all(bad.values())
+    with pytest.warns(UserWarning, match="2 unreadable files are skipped"):
+        back = tables.read_by_ticker(spark, str(path), bars.schema, skip_corrupt=True)
     assert sorted(r.ticker for r in back.collect()) == ["AAA", "BBB"]
 
 
+def test_no_warning_without_unreadable_files(spark, make_bars, tmp_path):
+    bars = make_bars({"AAA": [1.0]})
+    tables.write_by_ticker(bars, str(tmp_path / "table"))
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        back = tables.read_by_ticker(spark, str(tmp_path / "table"), bars.schema, skip_corrupt=True)
+    assert back.count() == 1 and tables.unreadable_files(spark, str(tmp_path / "table")).count() == 0
+
+
 def test_materialize_keeps_schema_and_cuts_lineage(spark, make_bars):
     bars = make_bars({"AAA": [1.0, 2.0]})
     table = storage.materialize(bars, "t")

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators.cleaning import KEY, cast_days, cast_numerics
 from tickerloom.params import Params
+from tickerloom.sources.storage import scratch_path
+from tickerloom.sources.tables import read_bucketed, write_bucketed
 
 
-def drop_report(raw: DataFrame, params: Params) -> DataFrame:
-    """Rows each cleaning rule removes, in one pass over the raw bars.
+def judged_bars(raw: DataFrame, params: Params, partitions: int | None = None) -> DataFrame:
+    """One row per (ticker, date): the bar that cleaning keeps of it, how many raw rows it had
+    (``rows_in``), how many of them had all required values (``rows_valid``), and whether its
+    return makes it an ``outlier``.
 
-    Raw rows fold to one row per key first, carrying how many came in and how many had all
-    required values; the return is then taken between the keys that survive.
+    Raw rows fold to keys in the map tasks and are shuffled once; a second shuffle brings the
+    keys to their tickers, into ``partitions`` partitions if given. A key without a valid row
+    has no bar and does not stand between the bars beside it.
     """
     valid = F.col("ticker").isNotNull() & F.col("date").isNotNull() & F.col("close").isNotNull()
     rest = [c for c in raw.columns if c not in KEY]
@@ -25,32 +30,57 @@ def drop_report(raw: DataFrame, params: Params) -> DataFrame:
             F.count_if(valid).alias("rows_valid"),
             F.min(F.when(valid, F.struct(*rest))).alias("_kept"),
         )
-        .select(*KEY, "rows_in", "rows_valid", F.col("_kept.close").alias("close"))
+        .select(*KEY, "rows_in", "rows_valid", "_kept.*")
     )
+    if partitions is not None:
+        keyed = keyed.repartition(partitions, "ticker")
     earlier = (
         Window.partitionBy("ticker").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.last("close", ignorenulls=True).over(earlier)
-    r = F.col("_return")
+    r = F.col("daily_return")
+    change = F.try_divide(F.col("close") - F.col("_before"), "_before")
+    outlier = r.isNotNull() & ~r.between(params.outlier_low, params.outlier_high)
     return (
         keyed.withColumn("_before", before)
-        .withColumn("_return", F.try_divide(F.col("close") - F.col("_before"), "_before"))
-        .withColumn(
-            "_outlier",
-            (F.col("rows_valid") > 0)
-            & r.isNotNull()
-            & ~r.between(params.outlier_low, params.outlier_high),
-        )
-        .agg(
-            F.sum("rows_in").alias("rows_in"),
-            F.sum(F.col("rows_in") - F.col("rows_valid")).alias("null_rows"),
-            F.sum(F.greatest(F.col("rows_valid") - 1, F.lit(0))).alias("duplicate_rows"),
-            F.count_if("_outlier").alias("outlier_rows"),
-            F.count_if((F.col("rows_valid") > 0) & ~F.col("_outlier")).alias("rows_out"),
-        )
+        .withColumn("daily_return", change)
+        .withColumn("outlier", (F.col("rows_valid") > 0) & outlier)
+        .select(*raw.columns, "daily_return", "rows_in", "rows_valid", "outlier")
     )
 
 
+def _removals() -> list[Column]:
+    """How many rows each cleaning rule removes, of judged bars."""
+    zero = F.lit(0).cast("bigint")
+    sums = {
+        "rows_in": F.coalesce(F.sum("rows_in"), zero),
+        "null_rows": F.coalesce(F.sum(F.col("rows_in") - F.col("rows_valid")), zero),
+        "duplicate_rows": F.coalesce(F.sum(F.greatest(F.col("rows_valid") - 1, zero)), zero),
+        "outlier_rows": F.count_if("outlier"),
+        "rows_out": F.count_if((F.col("rows_valid") > 0) & ~F.col("outlier")),
+    }
+    return [c.alias(name) for name, c in sums.items()]
+
+
+def drop_report(raw: DataFrame, params: Params) -> DataFrame:
+    """Rows each cleaning rule removes, in one pass over the raw bars."""
+    return judged_bars(raw, params).agg(*_removals())
+
+
+def clean_and_count(
+    raw: DataFrame, params: Params, buckets: int
+) -> tuple[DataFrame, DataFrame]:
+    """(the bars of ``clean_bars``, the row of ``drop_report``): one scan and one shuffle of the
+    raw rows for both. The judged bars are written once, bucketed by ticker; what reads them
+    shuffles nothing by ticker."""
+    judged = judged_bars(raw, params, buckets)
+    path = scratch_path(raw.sparkSession, "judged")
+    write_bucketed(judged, path, buckets)
+    written = read_bucketed(raw.sparkSession, path, judged.schema, buckets)
+    clean = written.filter((F.col("rows_valid") > 0) & ~F.col("outlier"))
+    return clean.select(*raw.columns, "daily_return"), written.agg(*_removals())
+
+
 def audit(bars: DataFrame) -> DataFrame:
     """One row: size, key uniqueness, nulls, return statistics, impossible and idle bars.
 

@@ -17,74 +17,109 @@ BLOCK_ROWS = 8192
 TILE_ROWS = 512
 
 
-def silhouette_samples(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact Euclidean silhouette per point of (id of any type, cluster int, vector array).
-
-    The work is quadratic by definition, the data movement is not: points are hashed into
-    blocks and a task gets two blocks and returns one row per point and cluster. No pair of
-    points is ever a row, and a task's memory is bounded by the block size. The function is a
-    local one so that it travels to the executors by value.
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    squared = np.zeros((len(a), len(b)))
+    for axis in range(a.shape[1]):
+        squared += (a[:, axis, None] - b[None, :, axis]) ** 2
+    return np.sqrt(squared)
+
+
+def cluster_totals(points: DataFrame, widths: list[int], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, clusters, totals): per point the sums of its distances to the points of every cluster
+    of every clustering, one after the other.
+
+    ``points`` are (id, clusters array<int>, vector): clustering c has the ids 0 to
+    ``widths[c]`` - 1. Every distance is taken once, for both its points and all clusterings:
+    points are hashed into blocks, and a task gets two blocks, the first not after the second.
+    No pair of points is ever a row, and a task's memory is bounded by the block size. The
+    functions are local ones so that they travel to the executors by value.
     """
-    tile_rows = TILE_ROWS
-
-    def distance_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Per left point and right cluster: the sum of distances to the cluster's points."""
+    tile_rows, offsets = TILE_ROWS, np.cumsum([0, *widths])
+    distances = _distances
+
+    def members(frame: pd.DataFrame) -> np.ndarray:
+        """Points by clusters: 1 where a point belongs to a cluster."""
+        found = np.zeros((len(frame), offsets[-1]))
+        ids = np.stack(frame["clusters"].to_numpy()).reshape(len(frame), -1)
+        for c, low in enumerate(offsets[:-1].tolist()):
+            found[np.arange(len(frame)), low + ids[:, c]] = 1
+        return found
+
+    def sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        names = ["id", "clusters", "totals"]
         if left.empty or right.empty:
-            return pd.DataFrame({"id": [], "own": [], "cluster": [], "total": []})
+            return pd.DataFrame({name: [] for name in names})
+        same = left["row_block"].iloc[0] == left["column_block"].iloc[0]
         a = np.stack(left["vector"].to_numpy()).astype("float64")
         b = np.stack(right["vector"].to_numpy()).astype("float64")
-        order = np.argsort(right["cluster"].to_numpy(), kind="stable")
-        names, starts = np.unique(right["cluster"].to_numpy()[order], return_index=True)
-        b = b[order]
-        totals = np.zeros((len(a), len(names)))
+        of_a, of_b = members(left), members(right)
+        to_b, to_a = np.zeros(of_a.shape), np.zeros(of_b.shape)
         for low in range(0, len(a), tile_rows):
-            tile = a[low : low + tile_rows]
-            squared = np.zeros((len(tile), len(b)))
-            for axis in range(a.shape[1]):
-                squared += (tile[:, axis, None] - b[None, :, axis]) ** 2
-            totals[low : low + tile_rows] = np.add.reduceat(np.sqrt(squared), starts, axis=1)
-        return pd.DataFrame({
-            "id": np.repeat(left["id"].to_numpy(), len(names)),
-            "own": np.repeat(left["cluster"].to_numpy(), len(names)),
-            "cluster": np.tile(names, len(a)),
-            "total": totals.ravel(),
-        })
-
-    typed = points.select(
-        "id", F.col("cluster").cast("int"), F.col("vector").cast("array<double>"),
-    )
+            tile = slice(low, low + tile_rows)
+            apart = distances(a[tile], b)
+            to_b[tile] = apart @ of_b
+            if not same:
+                to_a += apart.T @ of_a[tile]
+        both = [(left, to_b)] if same else [(left, to_b), (right, to_a)]
+        return pd.concat([
+            pd.DataFrame({"id": f["id"], "clusters": f["clusters"], "totals": list(t)})[names]
+            for f, t in both
+        ])
+
+    typed = points.select("id", F.col("clusters").cast("array<int>"),
+                          F.col("vector").cast("array<double>"))
     kind = typed.schema["id"].dataType.simpleString()
     blocks = max(1, math.ceil(typed.count() / block_rows))
     home = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = typed.select("*", home.alias("row_block"), every.alias("column_block"))
-    right = typed.select("*", home.alias("column_block"), every.alias("row_block"))
+    typed = typed.withColumn("_home", home)
+    here = F.col("_home")
+    onward = F.explode(F.sequence(here, F.lit(blocks - 1)))
+    backward = F.explode(F.sequence(F.lit(0), here))
+    left = typed.select("*", here.alias("row_block"), onward.alias("column_block"))
+    right = typed.select("*", here.alias("column_block"), backward.alias("row_block"))
     pair = ("row_block", "column_block")
-    totals = (
-        left.groupBy(*pair)
-        .cogroup(right.groupBy(*pair))
-        .applyInPandas(distance_sums, f"id {kind}, own int, cluster int, total double")
-        .groupBy("id", "own", "cluster")
-        .agg(F.sum("total").alias("total"))
-    )
-    sizes = typed.groupBy("cluster").agg(F.count("*").alias("size"))
-    same = F.col("own") == F.col("cluster")
-    per_point = (
-        totals.join(sizes, "cluster")
-        .groupBy("id", "own")
-        .agg(
-            F.max(F.when(same, F.try_divide(F.col("total"), F.col("size") - 1))).alias("within"),
-            F.min(F.when(~same, F.col("total") / F.col("size"))).alias("nearest"),
-        )
-    )
-    worth = F.try_divide(
-        F.col("nearest") - F.col("within"), F.greatest("nearest", "within")
-    )
-    alone = F.col("within").isNull()
-    return per_point.select(
-        "id", F.col("own").alias("cluster"),
-        F.when(alone, 0.0).otherwise(F.coalesce(worth, F.lit(0.0))).alias("silhouette"),
+    partial = (
+        left.groupBy(*pair).cogroup(right.groupBy(*pair))
+        .applyInPandas(sums, f"id {kind}, clusters array<int>, totals array<double>")
     )
+    added = [F.sum(F.col("totals")[i]) for i in range(int(offsets[-1]))]
+    return partial.groupBy("id", "clusters").agg(F.array(*added).alias("totals"))
+
+
+def silhouettes(
+    points: DataFrame, widths: list[int], block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(id, clusters, silhouettes): exact Euclidean silhouettes of every point under several
+    clusterings, from one pass over the distances. Points and ``widths`` as in
+    ``cluster_totals``."""
+    offsets = np.cumsum([0, *widths]).tolist()
+    member = [
+        F.sum((F.col("clusters")[c] == i).cast("bigint"))
+        for c, width in enumerate(widths) for i in range(width)
+    ]
+    sizes = points.agg(F.array(*member).alias("sizes"))
+    totals = cluster_totals(points, widths, block_rows).withColumn("sizes", sizes.scalar())
+    found = []
+    for c, low in enumerate(offsets[:-1]):
+        own = F.col("clusters")[c]
+        total = F.slice("totals", low + 1, widths[c])
+        size = F.slice("sizes", low + 1, widths[c])
+        within = F.try_divide(F.get(total, own), F.get(size, own) - 1)
+        means = F.transform(total, lambda t, i: F.when(i != own, F.try_divide(t, F.get(size, i))))
+        nearest = F.array_min(means)  # of clusters without points there is no mean
+        worth = F.try_divide(nearest - within, F.greatest(nearest, within))
+        found.append(F.when(within.isNull(), 0.0).otherwise(F.coalesce(worth, F.lit(0.0))))
+    return totals.select("id", "clusters", F.array(*found).alias("silhouettes"))
+
+
+def silhouette_samples(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Exact Euclidean silhouette per point of (id of any type, cluster int, vector array)."""
+    names = [row[0] for row in points.select("cluster").distinct().orderBy("cluster").collect()]
+    place = F.array_position(F.lit(names), F.col("cluster").cast("int")) - 1
+    dense = points.select("id", F.array(place).alias("clusters"), "vector")
+    found = silhouettes(dense, [max(1, len(names))], block_rows)
+    own = F.get(F.lit(names), F.col("clusters")[0]) if names else F.lit(None).cast("int")
+    return found.select("id", own.alias("cluster"), F.col("silhouettes")[0].alias("silhouette"))
 
 
 def silhouette_exact(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -102,5 +137,3 @@ def silhouette_squared(points: DataFrame) -> float:
         array_to_vector(F.col("vector").cast("array<double>")).alias("features"),
     )
     return ClusteringEvaluator().evaluate(vectors)
-
-

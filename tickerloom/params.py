@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import date
 
 BAR_COLUMNS = ("date", "ticker", "open", "high", "low", "close", "volume")
+BAR_TYPES = dict(zip(BAR_COLUMNS, ("date", "string", *["double"] * 4, "bigint")))
 PRICE_COLUMNS = ("open", "high", "low", "close")
 
 # Must equal the established defaults for results to match.

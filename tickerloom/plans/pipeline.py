@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,23 +16,23 @@ from tickerloom.operators.classify import (
     score_rows,
     train_predictor,
 )
-from tickerloom.operators.cleaning import clean_bars
 from tickerloom.operators.clustering import (
     Clustering,
     cluster_profiles,
     predict_clusters,
-    sweep_clusters,
 )
 from tickerloom.operators.indicators import add_features
 from tickerloom.operators.profile import label_table, ticker_profile
-from tickerloom.operators.quality import drop_report
+from tickerloom.operators.quality import clean_and_count
 from tickerloom.operators.splits import ml_rows
 from tickerloom.params import Params
 from tickerloom.sources.storage import materialize, run_folder
 from tickerloom.sources.tables import (
+    read_bucketed,
     read_by_ticker,
     read_csv,
     read_json,
+    write_bucketed,
     write_by_ticker,
     write_csv,
     write_json,
@@ -165,36 +165,58 @@ def predict_direction(rows: DataFrame, folder: Folder, params: Params) -> DataFr
     return score_rows(rows, load_model(folder.return_model), params)
 
 
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets of a run's bar tables: as many as a shuffle has partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def transform_stage(
-    raw: DataFrame, folder: Folder, params: Params, buckets: int | None = None
+    raw: DataFrame, folder: Folder, params: Params, buckets: int | None = None,
+    by_ticker: bool = False,
 ) -> DataFrame:
-    """Clean bars and the rows removed by rule, written; the result reads the written bars."""
-    clean = clean_bars(raw, params)
-    write_csv(drop_report(raw, params), folder.removed)
-    write_by_ticker(clean, folder.clean, buckets, clustered=True)
-    return read_by_ticker(raw.sparkSession, folder.clean, clean.schema)
+    """Clean bars and the rows removed by rule, written; the result reads the written bars.
+
+    The raw bars are read and shuffled once for both. The bars are bucketed by ticker, so the
+    feature stage shuffles nothing; ``by_ticker`` writes one folder per ticker instead.
+    """
+    spark = raw.sparkSession
+    buckets = buckets or bucket_count(spark)
+    clean, removed = clean_and_count(raw, params, buckets)
+    if by_ticker:
+        write_by_ticker(clean, folder.clean, clustered=True)
+        written = read_by_ticker(spark, folder.clean, clean.schema)
+    else:
+        write_bucketed(clean, folder.clean, buckets)
+        written = read_bucketed(spark, folder.clean, clean.schema, buckets)
+    write_csv(removed, folder.removed)
+    return written
 
 
 def feature_stage(
     clean: DataFrame, folder: Folder, params: Params,
-    buckets: int | None = None, export_csv: bool = True,
+    buckets: int | None = None, export_csv: bool = True, by_ticker: bool = False,
 ) -> DataFrame:
-    """Feature table, written as parquet and, unless switched off, as CSV."""
+    """Feature table, written as parquet (laid out like the clean bars) and, unless switched off,
+    as CSV."""
     require_benchmark(clean, params)
+    spark = clean.sparkSession
     features = add_features(clean, params)
-    write_by_ticker(features, folder.features, buckets, clustered=True)
-    written = read_by_ticker(clean.sparkSession, folder.features, features.schema)
+    if by_ticker:
+        write_by_ticker(features, folder.features, clustered=True)
+        written = read_by_ticker(spark, folder.features, features.schema)
+    else:
+        buckets = buckets or bucket_count(spark)
+        write_bucketed(features, folder.features, buckets)
+        written = read_bucketed(spark, folder.features, features.schema, buckets)
     if export_csv:
         write_csv(written, folder.features_csv)
     return written
 
 
 def clustering_stage(features: DataFrame, params: Params) -> Clustering:
-    """Profiles, materialised once for the many short fits, clustered at the configured k and,
-    beside it, scored for every swept k."""
+    """Profiles, written once, clustered at the configured k and, beside it, for every swept k."""
     profile = materialize(ticker_profile(features, params), "profile")
-    found = cluster_profiles(profile, params)
-    return replace(found, sweep=sweep_clusters(profile, params))
+    return cluster_profiles(profile, params, sweep=True)
 
 
 def prediction_stage(features: DataFrame, params: Params) -> Prediction:
@@ -247,15 +269,15 @@ def run_summary(
 
 def run_pipeline(
     raw: DataFrame, root: str, params: Params,
-    buckets: int | None = None, export_csv: bool = True,
+    buckets: int | None = None, export_csv: bool = True, by_ticker: bool = False,
 ) -> DataFrame:
     """Every stage from raw bars, all artefacts written below ``root``; returns the summary as
     written. Intermediate tables are removed at the end."""
     started = time.monotonic()
     folder, spark = Folder(root.rstrip("/")), raw.sparkSession
     with run_folder(spark):
-        clean = transform_stage(raw, folder, params, buckets)
-        features = feature_stage(clean, folder, params, buckets, export_csv)
+        clean = transform_stage(raw, folder, params, buckets, by_ticker)
+        features = feature_stage(clean, folder, params, buckets, export_csv, by_ticker)
         clustering = clustering_stage(features, params)
         write_csv(clustering.profile, folder.clusters)
         write_csv(clustering.sweep, folder.sweep)

@@ -11,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: Of folders that one run owns; no label of ``scratch_path`` begins like this.
+RUN_PREFIX = "whole-run-"
 
 _RUN: ContextVar[str | None] = ContextVar("run", default=None)
 
@@ -47,14 +49,19 @@ def run_folder(spark: SparkSession) -> Iterator[None]:
 
     What the block returns must not read them any more.
     """
-    path = f"{_root(spark)}/run-{uuid.uuid4().hex}"
+    path = f"{_root(spark)}/{RUN_PREFIX}{uuid.uuid4().hex}"
     token = _RUN.set(path)
     try:
         yield
     finally:
         _RUN.reset(token)
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it lies; a missing one is no error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
