@@ -20,16 +20,15 @@ other columns are ignored by ``quality_report`` and kept by ``keep_good``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickerloom.llm.common import materialize, text_column, texts_of
+from tickerloom.llm.common import materialize, release_memory, text_column
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -41,10 +40,6 @@ FLOOR_SCALE = (0.10, 0.05, 0.15, 0.15)
 
 FEATURES = ("x1", "x2", "x3", "x4")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-STATISTICS = (
-    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, n_lines long"
-)
 _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -100,29 +95,27 @@ def statistics(text: str) -> tuple[int, ...]:
     )
 
 
-_COUNTED = tuple(field.split()[0] for field in STATISTICS.split(", "))[1:]
+_COUNTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 
-def _measured(texts: Iterable[str]) -> list[pa.Array]:
-    rows = np.array([statistics(t) for t in texts], np.int64).reshape(-1, 6)
-    return [pa.array(column) for column in rows.T]
+def _counts(texts: Column) -> Column:
+    """The statistics of each text as a struct; nothing but the texts goes to Python."""
 
+    @F.arrow_udf(f"struct<{', '.join(f'{name}: bigint' for name in _COUNTED)}>")
+    def counted(texts: pa.Array) -> pa.Array:
+        rows = np.array([statistics(t.as_py() or "") for t in texts], np.int64).reshape(-1, 6)
+        release_memory()
+        return pa.StructArray.from_arrays([pa.array(column) for column in rows.T], names=_COUNTED)
 
-def text_statistics(docs: DataFrame, *keys: str) -> DataFrame:
-    """One row per document: the statistics, and ``keys`` of the document (text to group by)."""
-    fields = ", ".join([STATISTICS, *(f"{k} string" for k in keys)])
+    # Else the optimizer may count once for a filter and once more for what it keeps.
+    return counted.asNondeterministic()(texts).alias("_counted")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column("doc_id"), *_measured(texts_of(batch))]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, *(batch.column(k) for k in keys)],
-                [f.split()[0] for f in fields.split(", ")],
-            )
 
+def text_statistics(docs: DataFrame, *keys: str) -> DataFrame:
+    """One row per document: the statistics, and ``keys`` of the document (text to group by)."""
     chosen = [F.col(k).cast("string").alias(k) for k in keys]
-    rows = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"), *chosen)
-    return rows.mapInArrow(run, fields)
+    rows = docs.select(F.col("doc_id").cast("long"), _counts(text_column()), *chosen)
+    return rows.select("doc_id", "_counted.*", *keys)
 
 
 def base_failed() -> Column:
@@ -194,27 +187,29 @@ def _estimates(moments: DataFrame, keys: tuple[str, ...], support: float) -> Dat
     floor = np.diag(np.square(FLOOR_SCALE))
     schema = "center array<double>, inverse array<double>, logdet double"
 
-    def solve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for row in frame.itertuples(index=False):
-                n = row.n
-                center = np.array([getattr(row, f"s{i}") for i in range(d)]) / n
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():  # one row per group
+                n = row["n"]
+                center = np.array([row[f"s{i}"] for i in range(d)]) / n
                 spread = np.empty((d, d))
                 for i in range(d):
                     for j in range(i, d):
-                        spread[i, j] = spread[j, i] = (
-                            getattr(row, f"s{i}{j}") / n - center[i] * center[j]
-                        )
+                        spread[i, j] = spread[j, i] = row[f"s{i}{j}"] / n - center[i] * center[j]
                 whole = consistent * spread + floor
                 inverse = np.linalg.inv(whole)
-                names = [getattr(row, k) for k in keys]
-                rows.append([*names, center.tolist(), inverse.ravel().tolist(),
-                             float(np.linalg.slogdet(whole)[1])])
-            yield pd.DataFrame(rows, columns=[*keys, "center", "inverse", "logdet"])
+                found.append((center.tolist(), inverse.ravel().tolist(),
+                              float(np.linalg.slogdet(whole)[1])))
+            columns = list(zip(*found)) if found else [()] * 3
+            kinds = (pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys), *map(pa.array, columns, kinds)],
+                [*keys, "center", "inverse", "logdet"],
+            )
 
     named = ", ".join(f"{k} string" for k in keys)
-    return moments.mapInPandas(solve, f"{named}, {schema}")
+    return moments.mapInArrow(solve, f"{named}, {schema}")
 
 
 def _sums() -> list[Column]:
@@ -315,19 +310,6 @@ def keep_good(
     measures and judges each row where it is read, so no text is shuffled or matched by id."""
     fit = _fit(_prepared(docs, keys), keys, support, steps)
     chosen = [F.col(k).cast("string").alias(k) for k in keys]
-    nested = docs.select(F.struct("*").alias("row"), *chosen)
-    place = docs.columns.index("text")
-    counted = ", ".join(f"{name} long" for name in _COUNTED)
-    named = ", ".join(f"{k} string" for k in keys)
-    schema = f"row {docs.schema.simpleString()}, {named}, {counted}"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            passed = [batch.column(c) for c in ("row", *keys)]
-            texts = (value.as_py() or "" for value in passed[0].field(place))
-            yield pa.RecordBatch.from_arrays(
-                [*passed, *_measured(texts)], ["row", *keys, *_COUNTED]
-            )
-
-    measured = nested.mapInArrow(run, schema).withColumn("base_failed", base_failed())
+    nested = docs.select(F.struct("*").alias("row"), *chosen, _counts(text_column()))
+    measured = nested.select("row", *keys, "_counted.*").withColumn("base_failed", base_failed())
     return judge(_vectors(measured), fit, keys, tail).filter("kept").select("row.*")
