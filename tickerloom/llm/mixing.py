@@ -122,20 +122,36 @@ def sized_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """A hash of the whole row; maps, which have no hash in Spark, are left out."""
+    return F.xxhash64(*[f.name for f in docs.schema if "map<" not in f.dataType.simpleString()])
+
+
 def mix(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
     cap: float = CAP, seed: int = 0,
 ) -> DataFrame:
-    """The mixed corpus: every emitted document as often as it is taken, in its own columns."""
+    """The mixed corpus: every emitted document as often as it is taken, in its own columns.
+
+    Words are counted once and sampled as narrow rows; whole rows are shuffled once, to the
+    copies of their key. Equal rows share their copies out among them.
+    """
     sized = docs.select(
-        F.struct("*").alias("row"), "doc_id", "source",
-        word_count(F.col("text")).alias("size"),
+        "doc_id", "source", word_count(F.col("text")).alias("size"), _row_key(docs).alias("_key"),
     )
-    targets = source_targets(sized.select("source", "size"), weights, share, cap)
+    sized = materialize(sized, "mix-sizes")
+    targets = source_targets(sized, weights, share, cap)
     taken = systematic_copies(sized, targets, seed)
-    times = F.sequence(F.lit(1), F.col("copies").cast("int"))
-    emitted = taken.filter("copies > 0").select("row", F.explode(times).alias("_copy"))
-    return emitted.select("row.*")
+    copies = taken.groupBy("_key").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    copies = copies.filter("_copies > 0")
+    # The merge leaves equal rows side by side, so numbering them costs no shuffle and no sort.
+    whole = docs.withColumn("_key", _row_key(docs)).join(copies.hint("merge"), "_key")
+    place = F.row_number().over(Window.partitionBy("_key").orderBy("_key"))
+    extra = (place <= F.col("_copies") % F.col("_rows")).cast("long")
+    times = F.floor(F.col("_copies") / F.col("_rows")) + extra
+    emitted = whole.withColumn("_times", times).filter("_times > 0")
+    repeated = F.explode(F.sequence(F.lit(1), F.col("_times").cast("int")))
+    return emitted.select(*docs.columns, repeated.alias("_copy")).drop("_copy")
 
 
 def mix_report(docs: DataFrame, seed: int = 0, **rules) -> DataFrame:
