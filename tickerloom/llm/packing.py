@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import materialize, task_count, text_column, texts_of
+from tickerloom.llm.common import materialize, release_memory, task_count, text_column, texts_of
 from tickerloom.llm.tokens import encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -65,6 +65,7 @@ def token_pieces(
                     yield block(rows)
                     rows = []
             yield block(rows)
+        release_memory()
 
     rows = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"))
     return rows.mapInArrow(cut, PIECES)
