@@ -21,6 +21,8 @@ from tickerloom.llm import mixing, neardup, packing, quality, secret_scan
 from tickerloom.llm.common import materialize, read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Tokens that are packed at a time; a task holds their ids.
+GROUP_TOKENS = 1 << 22
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,7 +53,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their sequence and place."""
-    return packing.pack(packing.token_pieces(docs, TOKENIZER))
+    return packing.pack(packing.token_pieces(docs, TOKENIZER), group_tokens=GROUP_TOKENS)
 
 
 STAGES: list[tuple[str, Stage]] = [
