@@ -49,10 +49,23 @@ def test_base_spans_match_the_patterns(text):
     assert [s[:3] for s in found if s[3] == 0] == base_spans(text) and not cut
 
 
+def deflated(raw, window):
+    work = zlib.compressobj(wbits=window)
+    return work.compress(raw) + work.flush()
+
+
 LAYERS = {
     "percent": lambda s: "".join(f"%{b:02X}" for b in s.encode()),
     "unicode": lambda s: "".join(f"\\u{ord(c):04x}" for c in s),
     "hex escapes": lambda s: "".join(f"\\x{ord(c):02x}" for c in s),
+    "percent u": lambda s: "".join(f"%u{ord(c):04X}" for c in s),
+    "braced": lambda s: "".join(f"\\u{{{ord(c):x}}}" for c in s),
+    "octal": lambda s: "".join(f"\\{ord(c):03o}" for c in s),
+    "open entities": lambda s: "".join(f"&#{ord(c)}" for c in s),
+    "full width": lambda s: "".join(chr(ord(c) + 0xFEE0) for c in s),
+    "raw deflate": lambda s: b64(deflated(f"some text {s}".encode(), -15)),
+    "small window": lambda s: b64(deflated(f"some text {s}".encode(), 9)),
+    "bare lzma": lambda s: b64(lzma.compress(f"some text {s}".encode(), lzma.FORMAT_ALONE)),
     "entities": lambda s: "".join(f"&#x{ord(c):x};" for c in s),
     "base64": lambda s: b64(f"look: {s}"),
     "url-safe base64": lambda s: base64.urlsafe_b64encode(f"??>>{s}".encode()).decode(),
@@ -222,3 +235,22 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert all(texts[k] == t for k, t in AWKWARD)
     assert secret_scan.redact(documents(spark, [])).count() == 0
     assert secret_scan.find_secrets(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("text, secret", [
+    ("<a data='{&quot;password&quot;:&quot;hunter2hunter2xyz&quot;}'>", "password&quot;:&quot;hunter2hunter2xyz"),
+    ("/login?q=1&secret+%3D+hunter2hunter2xyz&x=2", "secret+%3D+hunter2hunter2xyz"),
+    ("body: token%20%3a+%22hunter2hunter2xyz%22", "token%20%3a+%22hunter2hunter2xyz"),
+    ("{\\u0022token\\u{22}:\\x22hunter2\\150unter2xyz", "token\\u{22}:\\x22hunter2\\150unter2xyz"),
+])
+def test_mixed_escapes_map_back_and_are_redacted(text, secret):
+    found, cut = secret_scan.secrets_in(text)
+    assert [text[a:b] for kind, a, b, layer in found if kind == "assign" and layer] == [secret]
+    assert secret_scan.redacted(text) == text.replace(secret, "[assign]") and not cut
+
+
+@pytest.mark.parametrize("text", [
+    "fish &amp; chips &nosuch; 100% + 5 = 5", "a+b=c+d", "C:\\123\\temp", "ＡＢＣ", "&#&#x&#;%u%uZZ",
+])
+def test_harmless_escapes_stay(text):
+    assert secret_scan.secrets_in(text) == ([], False) and secret_scan.redacted(text) == text

@@ -2,11 +2,14 @@
 
 A document is layer 0. Every layer is scanned for three kinds of secret, then unwrapped:
 
-- percent escapes and Unicode escapes (\\uXXXX, \\xXX, &#N;) are decoded in place, piece by piece: a
-  piece ends where no match can go on, and each piece with escapes gives one new layer;
+- percent escapes (also %uXXXX, and with + for a blank as forms have it), escapes of JSON and
+  JavaScript (\\uXXXX, \\u{X}, \\xXX, octal), HTML entities (by number or name) and full-width letters
+  are decoded in place, piece by piece: a piece ends where no match can go on, and each piece with
+  escapes gives one new layer of each of these kinds;
 - each long base64 run, also one that goes on over line breaks, is decoded at its four alignments,
-  and any gzip, zlib, bzip2 or xz data that start anywhere in it are undone, member after member and
-  however often repeated. What is text gives a layer of its own, and of other bytes each stretch
+  and any gzip, zlib, bzip2, xz or lzma data that start anywhere in it are undone, member after
+  member and however often repeated; raw deflate and zlib of a small window, which no mark shows,
+  if they make up the run from its start. What is text gives a layer of its own, and of other bytes each stretch
   of printable characters, in one byte each or in UTF-16.
 
 New layers join the worklist until none is left. A layer is dropped if the same content was seen
@@ -42,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import text_column, texts_of
+from tickerloom.llm.common import release_memory, text_column, texts_of
 
 KINDS = ("assign", "access", "hex")
 MAX_DECODED = 1 << 26
@@ -68,22 +71,24 @@ _WRAPPED = re.compile(
 _LINE = re.compile(r"[ \t]*+(?:\r\n?|\n|\\r\\n|\\n)[ \t>]*+")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+", re.ASCII)
+_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:%u[0-9A-Fa-f]{4})+", re.ASCII)
+_FORM = re.compile(r"\+|(?:%[0-9A-Fa-f]{2})+", re.ASCII)
 _ESCAPE = re.compile(
-    r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
-    r"|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});",
+    r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}"
+    r"|\\[0-3][0-7]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});?|&[A-Za-z][A-Za-z0-9]{1,31};",
     re.ASCII,
 )
+_FULL_WIDTH = re.compile("[\uff01-\uff5e]+")
 # Where no secret, escape or run goes on, however much of the text around is decoded: at other
 # characters than theirs, and between two plain words.
 _BREAK = re.compile(
-    r"""[^A-Za-z0-9+/_.=\-"':%\\&#;>\s]|(?<=\s)[A-Za-z.]{1,15}\x20(?=[A-Za-z.]{1,15}\s)""", re.ASCII
+    r"""[^A-Za-z0-9+/_.=\-"':%\\&#;>{}\s\uff01-\uff5e]|(?<=\s)[A-Za-z.]{1,15}\x20(?=[A-Za-z.]{1,15}\s)""", re.ASCII
 )
 _CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
 _PRINTABLE = re.compile(rb"[\t\n\r\x20-\x7e]{16,}")
 _WIDE = re.compile(rb"[\t\n\r\x20-\x7e](?:\x00[\t\n\r\x20-\x7e]){15,}")
 _MEMBER = re.compile(
-    rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9](?:1AY&SY|\x17\x72\x45\x38\x50\x90)|\xfd7zXZ\x00"
+    rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|\x5d\x00\x00[\x00-\xff]{2}(?:\xff{8}|[\x00-\xff]{4}\x00{4})|BZh[1-9](?:1AY&SY|\x17\x72\x45\x38\x50\x90)|\xfd7zXZ\x00"
 )
 _FEED = 1 << 16  # bytes given to a decompressor at a time
 
@@ -136,8 +141,22 @@ class _InPlace:
         return any(self.origin[i][2] for i in range(first, last + 1))
 
 
+def _units(run: str, head: int) -> Iterator[tuple[str, int]]:
+    """(character, length of its source) of consecutive UTF-16 units with a head each."""
+    step = head + 4
+    units = [int(run[i + head : i + step], 16) for i in range(0, len(run), step)]
+    while units:
+        take = 2 if len(units) > 1 and 0xD800 <= units[0] < 0xDC00 <= units[1] < 0xE000 else 1
+        raw = b"".join(u.to_bytes(2, "little") for u in units[:take])
+        yield raw.decode("utf-16-le", "replace"), step * take
+        del units[:take]
+
+
 def _percent_characters(run: str) -> Iterator[tuple[str, int]]:
-    """(character, length of its source) of consecutive %XX."""
+    """(character, length of its source) of consecutive %XX or %uXXXX."""
+    if run[1] == "u":
+        yield from _units(run, 2)
+        return
     raw = bytes.fromhex(run.replace("%", ""))
     try:
         for character in raw.decode():
@@ -147,25 +166,35 @@ def _percent_characters(run: str) -> Iterator[tuple[str, int]]:
             yield chr(byte), 3
 
 
+def _form_characters(run: str) -> Iterator[tuple[str, int]]:
+    if run == "+":
+        yield " ", 1
+    else:
+        yield from _percent_characters(run)
+
+
 def _escape_characters(run: str) -> Iterator[tuple[str, int]]:
     if run[0] == "&":
         yield html.unescape(run), len(run)
-    elif run[1] == "u":
-        units = [int(run[i + 2 : i + 6], 16) for i in range(0, len(run), 6)]
-        while units:
-            take = 2 if len(units) > 1 and 0xD800 <= units[0] < 0xDC00 <= units[1] < 0xE000 else 1
-            raw = b"".join(u.to_bytes(2, "little") for u in units[:take])
-            yield raw.decode("utf-16-le", "replace"), 6 * take
-            del units[:take]
+    elif run[1] == "u" and run[2] != "{":
+        yield from _units(run, 2)
     else:
-        code = int(run[2:], 16)
+        code = int(run[2:].strip("{}"), 16) if run[1] in "uUx" else int(run[1:], 8)
         valid = code < 0xD800 or 0xE000 <= code < 0x110000
-        yield chr(code) if valid else "�", len(run)
+        yield chr(code) if valid else "\ufffd", len(run)
+
+
+def _narrow_characters(run: str) -> Iterator[tuple[str, int]]:
+    for character in run:
+        yield chr(ord(character) - 0xFEE0), 1
 
 
+# What a text must hold to be decoded so, and how.
 _MARKS = (
-    ("%", _PERCENT, _percent_characters), ("\\", _ESCAPE, _escape_characters),
-    ("&#", _ESCAPE, _escape_characters),
+    (lambda t: "%" in t, _PERCENT, _percent_characters),
+    (lambda t: "+" in t and ("%" in t or "=" in t), _FORM, _form_characters),
+    (lambda t: "\\" in t or "&" in t, _ESCAPE, _escape_characters),
+    (lambda t: not t.isascii() and _FULL_WIDTH.search(t), _FULL_WIDTH, _narrow_characters),
 )
 
 
@@ -193,10 +222,14 @@ def _pieces(text: str) -> Iterator[tuple[int, int]]:
         low = high
 
 
-def _member(raw: bytes, at: int, most: int) -> tuple[bytes, int | None] | None:
+def _member(
+    raw: bytes, at: int, most: int, window: int | None = None
+) -> tuple[bytes, int | None] | None:
     """The content, at most ``most`` bytes, of the compressed data at ``at``, and their end if it
-    was met; None if there are none."""
-    if raw[at] in b"\x1f\x78":
+    was met; None if there are none. ``window``: zlib's, for data that no mark shows."""
+    if window:
+        undo = zlib.decompressobj(window)
+    elif raw[at] in b"\x1f\x78":
         undo = zlib.decompressobj(47)
     elif raw[at] == ord("B"):
         undo = bz2.BZ2Decompressor()
@@ -214,6 +247,14 @@ def _member(raw: bytes, at: int, most: int) -> tuple[bytes, int | None] | None:
     return (b"".join(parts), end) if size else None
 
 
+def _unmarked(raw: bytes) -> Iterator[int]:
+    """zlib windows that bytes without a mark may have been compressed by."""
+    if raw[0] & 15 == 8 and raw[0] >> 4 < 8 and int.from_bytes(raw[:2], "big") % 31 == 0:
+        yield 15
+    if raw[0] & 6 in (2, 4):  # a block of either code; stored bytes show as they are
+        yield -15
+
+
 def _texts(raw: bytes) -> Iterator[tuple[int, int, str]]:
     """(start, end, text): all of the bytes if they are text, else their printable stretches."""
     try:
@@ -291,12 +332,12 @@ class _Work:
             if touched is None or touched(a, b):
                 span = (kind, *_root(maps, a, b))
                 self.found[span] = min(depth, self.found.get(span, depth))
-        marks = [mark for mark in _MARKS if mark[0] in text]
+        marks = [mark for mark in _MARKS if mark[0](text)]
         for low, high in _pieces(text) if marks else ():
             piece = text[low:high]
             source = place if len(piece) == len(text) else _root(maps, low, high)
             for mark, pattern, characters in marks:
-                if mark in piece and (layer := _decode_in_place(piece, pattern, characters)):
+                if mark(piece) and (layer := _decode_in_place(piece, pattern, characters)):
 
                     def back(a, b, layer=layer, low=low):
                         a, b = layer.to_parent(a, b)
@@ -355,9 +396,9 @@ class _Work:
                     maps = (lambda a, b, root=root: root, None)
                     yield from self._new(text, root, maps, None, depth)
             at = 0
-            while match := _MEMBER.search(raw, at):
-                start, at = match.start(), match.start() + 1
-                if (member := _member(raw, start, self.left + 1)) is None:
+            while (found := self._compressed(raw, at)) is not None:
+                start, at, member = found
+                if member is None:
                     continue
                 inner, end = member
                 at = at if end is None else end
@@ -372,6 +413,20 @@ class _Work:
                 self.nested += NESTED * len(inner)
                 todo.append((inner, lambda a, b, root=root: root, depth + 1))
 
+    def _compressed(
+        self, raw: bytes, at: int
+    ) -> tuple[int, int, tuple[bytes, int | None] | None] | None:
+        """(start, where to look on, content and end) of the next compressed data, if any."""
+        if at == 0 and len(raw) > 1 and not _MEMBER.match(raw):
+            for window in _unmarked(raw):
+                member = _member(raw, 0, self.left + 1, window)
+                # Any bytes may look like a beginning; data without a mark must come to an end.
+                if member is not None and member[1] is not None:
+                    return 0, 1, member
+        if (match := _MEMBER.search(raw, at)) is None:
+            return None
+        return match.start(), match.start() + 1, _member(raw, match.start(), self.left + 1)
+
     def _refuse(self, place: tuple[int, int]) -> None:
         self.cut = True
         self.unread.add(place)
@@ -438,17 +493,17 @@ def redacted(text: str, max_decoded: int = MAX_DECODED) -> str:
 def redact(docs: DataFrame, max_decoded: int = MAX_DECODED) -> DataFrame:
     """The documents, all columns, with secrets replaced in ``text``; null texts stay null."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            clean = [
-                None if value is None else redacted(value, max_decoded)
-                for value in (item.as_py() for item in batch.column(at))
-            ]
-            texts = pa.array(clean, batch.schema.field(at).type)
-            yield batch.set_column(at, batch.schema.field(at), texts)
-
-    return docs.mapInArrow(run, docs.schema)
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        found = [
+            None if t is None else redacted(t, max_decoded) for t in (v.as_py() for v in texts)
+        ]
+        release_memory()
+        return pa.array(found, pa.string())
+
+    text = F.col("text")
+    kind = docs.schema["text"].dataType
+    return docs.withColumn("text", clean(text.cast("string")).cast(kind)).select(*docs.columns)
 
 
 def _count(spans: Column, kind: str) -> Column:
