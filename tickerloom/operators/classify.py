@@ -78,13 +78,15 @@ def classifier(name: str, params: Params) -> Estimator:
 def split_rows(rows: DataFrame, params: Params) -> tuple[DataFrame, DataFrame]:
     """(train, test) in time order; train carries class weights.
 
-    The rows are written once: the counting passes of the cut, both contenders, the folds and
-    the metrics all read that table, and the cut is a pair of literals, so its date reaches the
-    scan. The training part has a fixed layout, because fits sample per partition.
+    The rows are written once: the counting passes of the cut and the metrics read that table,
+    and the cut is a pair of literals, so its date reaches the scan. The weighted training part is
+    written once more, for both contenders, the folds and the counts; it has a fixed layout,
+    because fits sample per partition.
     """
     train, test = cut_parts(materialize(rows, "ml-rows"), params)
-    # Last: the optimizer drops a sort that stands below a join.
-    train = fit_layout(with_class_weights(train), params.fit_partitions, "ticker", "date")
+    # The weights are joined once, before the layout: the optimizer drops a sort below a join.
+    train = materialize(with_class_weights(train), "train")
+    train = fit_layout(train, params.fit_partitions, "ticker", "date")
     return train, test
 
 
