@@ -211,6 +211,19 @@ class _Segments:
         return np.concatenate(found)
 
 
+    def marked(self, row: dict) -> np.ndarray:
+        """The windows that the chunk's marks name."""
+        marks = {m["id"]: m["marks"] for m in row["marked"]}
+        _, name, first, count, _ = self.runs(_unsigned(row["hot"]))
+        some = np.isin(_signed(name), np.fromiter(marks, np.int64, len(marks)))
+        names, first, count = _signed(name[some]).tolist(), first[some], count[some]
+        bits = np.unpackbits(np.frombuffer(b"".join(map(marks.get, names)), np.uint8))
+        skipped = np.cumsum((count + 7) // 8 * 8) - (count + 7) // 8 * 8
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        recurs = bits[np.repeat(skipped, count) + within].astype(bool)
+        return (np.repeat(first, count) + within)[recurs]
+
+
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for at in range(batch.num_rows):
@@ -380,20 +393,13 @@ def _sorted_shards(segments: DataFrame, length: int, shard_bytes: int) -> DataFr
 
 def _cut(row: dict, length: int) -> Iterator[tuple]:
     segments = _Segments(row, length)
-    gone = np.zeros(len(segments.raw), bool)
+    recurs = np.zeros(len(segments.raw), np.int32)
     if row["marked"]:
-        marks = {m["id"]: m["marks"] for m in row["marked"]}
-        named = np.sort(np.fromiter(marks, np.int64, len(marks)))
-        _, name, first, count, _ = segments.runs(_unsigned(row["hot"]))
-        some = np.flatnonzero(np.isin(_signed(name), named))
-        steps = np.zeros(len(gone) + 1, np.int32)
-        for i in some.tolist():
-            bits = np.unpackbits(np.frombuffer(marks[int(_signed(name[i : i + 1])[0])], np.uint8),
-                                 count=int(count[i]))
-            turns = np.flatnonzero(np.diff(bits, prepend=0, append=0)) + first[i]
-            np.add.at(steps, turns[::2], 1)
-            np.add.at(steps, turns[1::2] + length - 1, -1)
-        gone = np.cumsum(steps[:-1], dtype=np.int32) > 0
+        recurs[segments.marked(row)] = 1
+    # A byte goes if one of the last ``length`` windows up to it recurs.
+    gone = np.cumsum(recurs, dtype=np.int32)
+    gone[length:] -= gone[:-length].copy()
+    gone = gone > 0
     for doc_id, low, high in zip(segments.ids, segments.starts.tolist(), segments.ends.tolist()):
         cut = gone[low:high]
         turns = np.flatnonzero(np.diff(cut, prepend=False, append=False)).tolist()
