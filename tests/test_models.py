@@ -136,6 +136,53 @@ def test_exact_silhouette_equals_brute_force(spark, block_rows):
     assert math.isclose(squared, brute_silhouette(vectors, labels, True).mean(), abs_tol=1e-9)
 
 
+def hard_vectors(name, rng):
+    plain = rng.normal(size=(90, 5))
+    rare = rng.random((90, 5)) < 0.01
+    return {
+        "plain": plain, "far from zero": plain + 1e6, "copies": np.repeat(plain[:9], 10, 0),
+        "near copies": np.repeat(plain[:9], 10, 0) + 1e-9 * plain,
+        "nan": np.where(rare, np.nan, plain), "infinite": np.where(rare, np.inf, plain),
+        "huge": plain * 1e200, "tiny": plain * 1e-200, "empty": plain[:, :0],
+        "mixed": plain * 10.0 ** rng.integers(-8, 8, (90, 1)),
+    }[name]
+
+
+@pytest.mark.parametrize("tile", [512, 13])
+@pytest.mark.parametrize("name", [
+    "plain", "far from zero", "copies", "near copies", "nan", "infinite", "huge", "tiny", "empty",
+    "mixed",
+])
+def test_products_lose_no_digits(monkeypatch, name, tile):
+    """Sums of distances by matrix products are those of the differences."""
+    monkeypatch.setattr(silhouette, "TILE_COLUMNS", tile)
+    rng = np.random.default_rng(2)
+    vectors, members = hard_vectors(name, rng), np.eye(3)[rng.integers(0, 3, 90)]
+    a, b, of_a, of_b = vectors[:40], vectors[40:], members[:40], members[40:]
+    with np.errstate(all="ignore"):
+        apart = np.sqrt(((a[:, None] - b[None]) ** 2).sum(2))
+        expected = apart @ of_b, apart.T @ of_a
+    for mine, theirs in zip(silhouette._block_totals(a, of_a, b, of_b), expected):
+        assert np.allclose(mine, theirs, rtol=1e-10, atol=0, equal_nan=True)
+
+
+def test_plain_tiles_take_no_differences(monkeypatch):
+    """Only close pairs go by differences, whose price was 64 passes over every pair."""
+    taken, found = [], np.nonzero
+    monkeypatch.setattr(np, "nonzero", lambda near: taken.append(near.sum()) or found(near))
+    vectors = np.random.default_rng(3).normal(size=(1000, 64))
+    vectors[999] = vectors[0] + 1e-9
+    silhouette._block_totals(vectors[:500], np.ones((500, 1)), vectors[500:], np.ones((500, 1)))
+    assert taken == [1]
+
+
+def test_blocks_are_large_but_bounded():
+    count = silhouette._block_count
+    assert count(600_000, 64, silhouette.BLOCK_ROWS) == 19  # 74 of 8,192 rows before
+    assert count(600_000, 640, silhouette.BLOCK_ROWS) > 180  # bounded in bytes
+    assert count(100_000, 64, silhouette.BLOCK_ROWS) == 16 and count(0, 0, 1) == 1
+
+
 @pytest.mark.parametrize("block_rows", [7, 8192])
 def test_one_pass_scores_many_clusterings(spark, block_rows):
     rng = np.random.default_rng(1)

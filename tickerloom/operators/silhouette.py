@@ -11,17 +11,93 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows per block: a task holds two blocks of vectors. Every point is sent once per block, so
-# larger blocks move less; distances are taken in tiles.
-BLOCK_ROWS = 8192
-TILE_ROWS = 512
+# Rows and bytes of vectors per block: a task holds two blocks. Every point is sent once per
+# block, so larger blocks move less; small inputs still get blocks enough to keep cores busy.
+BLOCK_ROWS = 32_768
+BLOCK_BYTES = 16 << 20
+MIN_BLOCKS, MIN_BLOCK_ROWS = 16, 2048
+# Partitions of block pairs.
+MAX_PARTS = 10_000
+# Distances are taken in tiles that stay in a core's cache.
+TILE_ROWS, TILE_COLUMNS = 256, 512
+# A squared distance below these shares of both squared lengths, about the common centre and about
+# zero, has lost digits to cancellation; such distances are taken from the differences.
+CLOSE, FAINT = 1e-3, 1e-12
+
+
+def _distinct(points: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different rows, the members of equal ones added up, and each row's place among them."""
+    width = points.itemsize * points.shape[1]
+    if not width:
+        return points, members, np.arange(len(points))
+    keys = np.ascontiguousarray(points).view(np.dtype((np.void, width))).ravel()
+    _, first, place = np.unique(keys, return_index=True, return_inverse=True)
+    added = np.zeros((len(first), members.shape[1]))
+    np.add.at(added, place, members)
+    return points[first], added, place
+
+
+def _centre(points: np.ndarray) -> np.ndarray:
+    finite = points[np.isfinite(points).all(axis=1)]
+    return finite.mean(axis=0) if len(finite) else np.zeros(points.shape[1])
+
+
+class _Side:
+    """Points with what their distances need: factors of a product, and where it fails."""
+
+    def __init__(self, points: np.ndarray, centre: np.ndarray):
+        self.points, centred = points, points - centre
+        squares = (centred**2).sum(axis=1)
+        ones = np.ones(len(points))
+        # The product of a left and a right factor is the squared distance.
+        self.left = np.column_stack([-2 * centred, squares, ones])
+        self.right = np.column_stack([centred, ones, squares])
+        self.slack = CLOSE * squares + FAINT * (points**2).sum(axis=1)
+
+
+def _distances(a: _Side, b: _Side, rows: slice, columns: slice) -> np.ndarray:
+    """Euclidean distances by one matrix product. Close pairs, overflow and what is not finite
+    are taken again from the differences, so no digits are lost."""
+    apart = a.left[rows] @ b.right[columns].T
+    # For most tiles two bounds show that there is no such pair; nan passes neither.
+    if apart.min() > a.slack[rows].max() + b.slack[columns].max() and apart.max() < np.inf:
+        return np.sqrt(apart, out=apart)
+    slack = a.slack[rows, None] + b.slack[columns]
+    near = ~((apart > slack) & (apart < np.inf))
+    apart[near] = 0
+    np.sqrt(apart, out=apart)
+    left, right = np.nonzero(near)
+    step = max(1, (1 << 18) // max(1, a.points.shape[1]))
+    for at in range(0, len(left), step):
+        i, j = left[at : at + step], right[at : at + step]
+        apart[i, j] = np.sqrt(((a.points[rows][i] - b.points[columns][j]) ** 2).sum(axis=1))
+    return apart
+
+
+def _block_totals(
+    a: np.ndarray, of_a: np.ndarray, b: np.ndarray, of_b: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per point of ``a`` the sums of its distances to the clusters' points in ``b``, and the
+    other way round."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        a, of_a, place_a = _distinct(a, of_a)
+        b, of_b, place_b = _distinct(b, of_b)
+        centre = _centre(a)
+        left, right = _Side(a, centre), _Side(b, centre)
+        to_b, to_a = np.zeros(of_a.shape), np.zeros(of_b.shape)
+        for low in range(0, len(a), TILE_ROWS):
+            rows = slice(low, low + TILE_ROWS)
+            for start in range(0, len(b), TILE_COLUMNS):
+                columns = slice(start, start + TILE_COLUMNS)
+                apart = _distances(left, right, rows, columns)
+                to_b[rows] += apart @ of_b[columns]
+                to_a[columns] += apart.T @ of_a[rows]
+    return to_b[place_a], to_a[place_b]
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    squared = np.zeros((len(a), len(b)))
-    for axis in range(a.shape[1]):
-        squared += (a[:, axis, None] - b[None, :, axis]) ** 2
-    return np.sqrt(squared)
+def _block_count(rows: int, dimension: int, block_rows: int) -> int:
+    largest = max(1, min(block_rows, BLOCK_BYTES // (8 * max(1, dimension))))
+    return max(1, math.ceil(rows / largest), min(MIN_BLOCKS, math.ceil(rows / MIN_BLOCK_ROWS)))
 
 
 def cluster_totals(points: DataFrame, widths: list[int], block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -31,11 +107,10 @@ def cluster_totals(points: DataFrame, widths: list[int], block_rows: int = BLOCK
     ``points`` are (id, clusters array<int>, vector): clustering c has the ids 0 to
     ``widths[c]`` - 1. Every distance is taken once, for both its points and all clusterings:
     points are hashed into blocks, and a task gets two blocks, the first not after the second.
-    No pair of points is ever a row, and a task's memory is bounded by the block size. The
-    functions are local ones so that they travel to the executors by value.
+    No pair of points is ever a row, and a task's memory is bounded by the block size. Distances
+    are matrix products: their number is quadratic, their price a few floating point operations.
     """
-    tile_rows, offsets = TILE_ROWS, np.cumsum([0, *widths])
-    distances = _distances
+    offsets = np.cumsum([0, *widths])
 
     def members(frame: pd.DataFrame) -> np.ndarray:
         """Points by clusters: 1 where a point belongs to a cluster."""
@@ -52,24 +127,21 @@ def cluster_totals(points: DataFrame, widths: list[int], block_rows: int = BLOCK
         same = left["row_block"].iloc[0] == left["column_block"].iloc[0]
         a = np.stack(left["vector"].to_numpy()).astype("float64")
         b = np.stack(right["vector"].to_numpy()).astype("float64")
-        of_a, of_b = members(left), members(right)
-        to_b, to_a = np.zeros(of_a.shape), np.zeros(of_b.shape)
-        for low in range(0, len(a), tile_rows):
-            tile = slice(low, low + tile_rows)
-            apart = distances(a[tile], b)
-            to_b[tile] = apart @ of_b
-            if not same:
-                to_a += apart.T @ of_a[tile]
+        to_b, to_a = _block_totals(a, members(left), b, members(right))
         both = [(left, to_b)] if same else [(left, to_b), (right, to_a)]
         return pd.concat([
             pd.DataFrame({"id": f["id"], "clusters": f["clusters"], "totals": list(t)})[names]
             for f, t in both
         ])
 
-    typed = points.select("id", F.col("clusters").cast("array<int>"),
-                          F.col("vector").cast("array<double>"))
+    element = points.schema["vector"].dataType.simpleString()
+    vector = F.col("vector") if element == "array<float>" else F.col("vector").cast("array<double>")
+    typed = points.select(
+        "id", F.col("clusters").cast("array<int>"), vector.alias("vector")
+    )
     kind = typed.schema["id"].dataType.simpleString()
-    blocks = max(1, math.ceil(typed.count() / block_rows))
+    rows, dimension = typed.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
+    blocks = _block_count(rows, dimension or 0, block_rows)
     home = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     typed = typed.withColumn("_home", home)
     here = F.col("_home")
@@ -78,6 +150,9 @@ def cluster_totals(points: DataFrame, widths: list[int], block_rows: int = BLOCK
     left = typed.select("*", here.alias("row_block"), onward.alias("column_block"))
     right = typed.select("*", here.alias("column_block"), backward.alias("row_block"))
     pair = ("row_block", "column_block")
+    # By number, for the work is in the pairs, not in the bytes that decide elsewhere.
+    parts = min(blocks * (blocks + 1) // 2, MAX_PARTS)
+    left, right = (side.repartition(parts, *pair) for side in (left, right))
     partial = (
         left.groupBy(*pair).cogroup(right.groupBy(*pair))
         .applyInPandas(sums, f"id {kind}, clusters array<int>, totals array<double>")
