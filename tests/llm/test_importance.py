@@ -11,7 +11,7 @@ import xxhash
 
 from llm_fixtures import AWKWARD, documents, sentence
 from tickerloom.llm import importance
-from tickerloom.llm.ngram_table import NgramTable, _lanes, hash_stretches
+from tickerloom.llm.ngram_table import NgramTable, _lanes, crc_stretches, hash_stretches
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 
@@ -64,6 +64,20 @@ def test_hashes_are_xxhash64():
     ]
 
 
+def test_checksums_are_crc32_in_few_calls(monkeypatch):
+    """One call a length, not one a stretch."""
+    draw = random.Random(0)
+    buffer = bytes(draw.randrange(256) for _ in range(3000))
+    starts = np.array([draw.randrange(2900) for _ in range(900)])
+    lengths = np.array([draw.randrange(0, 90) if i % 9 == 0 else i % 32 for i in range(900)])
+    expected = [zlib.crc32(buffer[a : a + n]) for a, n in zip(starts, lengths)]
+    calls, once = [], zlib.crc32
+    monkeypatch.setattr(zlib, "crc32", lambda data: calls.append(len(data)) or once(data))
+    assert crc_stretches(buffer, _lanes(buffer), starts, lengths).tolist() == expected
+    assert len(calls) == (lengths > 31).sum() and min(calls) > 31
+    assert crc_stretches(b"", _lanes(b""), starts[:0], lengths[:0]).tolist() == []
+
+
 @pytest.mark.parametrize("collide", [False, True])
 def test_a_table_tells_stretches_apart_by_bytes(monkeypatch, collide):
     if collide:  # every key alike: only the bytes are left to tell them apart

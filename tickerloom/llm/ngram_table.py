@@ -53,22 +53,77 @@ def _hash_equal_lengths(lanes: np.ndarray, starts: np.ndarray, length: int) -> n
     return found ^ (found >> np.uint64(32))
 
 
+def _by_length(lengths: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The places of stretches of each length from 0 to ``SHORT``, and those of longer ones."""
+    capped = np.minimum(lengths, SHORT + 1).astype(np.uint8)
+    order = np.argsort(capped, kind="stable")
+    cuts = np.searchsorted(capped[order], np.arange(SHORT + 2))
+    return np.split(order, cuts[1:])[:-1], order[cuts[-1] :]
+
+
 def hash_stretches(
     buffer: bytes, lanes: np.ndarray, starts: np.ndarray, lengths: np.ndarray
 ) -> np.ndarray:
     """xxhash64 of each stretch of ``buffer``."""
     found = np.empty(len(starts), np.uint64)
-    capped = np.minimum(lengths, SHORT + 1).astype(np.uint8)
-    order = np.argsort(capped, kind="stable")
-    cuts = np.searchsorted(capped[order], np.arange(SHORT + 3))
+    short, long = _by_length(lengths)
     with np.errstate(over="ignore"):
-        for length in range(SHORT + 1):
-            some = order[cuts[length] : cuts[length + 1]]
+        for length, some in enumerate(short):
             if len(some):
                 found[some] = _hash_equal_lengths(lanes, starts[some], length)
-    some = order[cuts[SHORT + 1] :]
-    ends = (starts[some] + lengths[some]).tolist()
-    found[some] = [xxhash.xxh64_intdigest(buffer[a:b]) for a, b in zip(starts[some].tolist(), ends)]
+    ends = (starts[long] + lengths[long]).tolist()
+    found[long] = [xxhash.xxh64_intdigest(buffer[a:b]) for a, b in zip(starts[long].tolist(), ends)]
+    return found
+
+
+def _crc_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """crc32 steps: of a byte, of two bytes, and of two bytes with two more after them."""
+    one = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        one = (one >> np.uint32(1)) ^ np.where(one & 1, np.uint32(0xEDB88320), np.uint32(0))
+    after = [one]
+    for _ in range(3):
+        after.append((after[-1] >> np.uint32(8)) ^ one[after[-1] & 0xFF])
+    low, high = np.arange(1 << 16) & 0xFF, np.arange(1 << 16) >> 8
+    return one, after[1][low] ^ after[0][high], after[3][low] ^ after[2][high]
+
+
+_CRC_BYTE, _CRC_PAIR, _CRC_EARLY_PAIR = _crc_tables()
+
+
+def _crc_equal_lengths(lanes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """crc32 of stretches that all have one length of at most ``SHORT``."""
+    found = np.full(len(starts), 0xFFFFFFFF, np.uint32)
+    at = 0
+    while at < length:
+        rest = length - at
+        lane = lanes[starts + at] if at % 8 == 0 else lane >> np.uint64(32 if at % 4 == 0 else 16)
+        if rest >= 4:
+            found ^= lane.astype(np.uint32)
+            found = _CRC_EARLY_PAIR[found & 0xFFFF] ^ _CRC_PAIR[found >> np.uint32(16)]
+            at += 4
+        elif rest >= 2:
+            found ^= lane.astype(np.uint16)
+            found = (found >> np.uint32(16)) ^ _CRC_PAIR[found & 0xFFFF]
+            at += 2
+        else:
+            found ^= lane.astype(np.uint8)
+            found = (found >> np.uint32(8)) ^ _CRC_BYTE[found & 0xFF]
+            at += 1
+    return ~found
+
+
+def crc_stretches(
+    buffer: bytes, lanes: np.ndarray, starts: np.ndarray, lengths: np.ndarray
+) -> np.ndarray:
+    """Unsigned crc32 of each stretch of ``buffer``."""
+    found = np.empty(len(starts), np.int64)
+    short, long = _by_length(lengths)
+    for length, some in enumerate(short):
+        if len(some):
+            found[some] = _crc_equal_lengths(lanes, starts[some], length)
+    ends = (starts[long] + lengths[long]).tolist()
+    found[long] = [zlib.crc32(buffer[a:b]) for a, b in zip(starts[long].tolist(), ends)]
     return found
 
 
@@ -85,10 +140,7 @@ class NgramTable:
         self.used = np.flatnonzero(self.holder >= 0)
         self.counts = np.bincount(self.slots, minlength=len(self.holder))
         firsts = self.holder[self.used]
-        spans = zip(starts[firsts].tolist(), ends[firsts].tolist())
-        codes = np.fromiter(
-            (zlib.crc32(buffer[a:b]) for a, b in spans), np.int64, len(firsts)
-        )
+        codes = crc_stretches(buffer, self.lanes, starts[firsts], self.lengths[firsts])
         self.bucket = np.zeros(len(self.holder), np.int64)
         self.bucket[self.used] = codes % buckets
 
